@@ -56,7 +56,7 @@ def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str =
     def marked(df: DataFrame) -> DataFrame:
         return df.join(flag, same_keys(df, flag, on), "left").drop(*[f"_k_{k}" for k in on])
 
-    content = [f.name for f in big.schema.fields if not _has_map(f.dataType)]
+    content = [f.name for f in big.schema.fields if not has_map(f.dataType)]
     slot = F.when(F.col("_hot"), F.pmod(F.xxhash64(*content), F.lit(salts))).otherwise(F.lit(0)).cast("int")
     left = marked(big).withColumn("_slot", slot).drop("_hot")
     slots = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
@@ -98,11 +98,11 @@ def dense_index(df: DataFrame, order: Sequence[str], name: str = "_index") -> Da
     )
 
 
-def _has_map(kind: T.DataType) -> bool:
+def has_map(kind: T.DataType) -> bool:
     if isinstance(kind, T.MapType):
         return True
     if isinstance(kind, T.ArrayType):
-        return _has_map(kind.elementType)
+        return has_map(kind.elementType)
     if isinstance(kind, T.StructType):
-        return any(_has_map(f.dataType) for f in kind.fields)
+        return any(has_map(f.dataType) for f in kind.fields)
     return False

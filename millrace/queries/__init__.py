@@ -25,4 +25,4 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def load_all() -> None:
-    from millrace.queries import records, writing  # noqa: F401
+    from millrace.queries import capture, layout, records, writing  # noqa: F401
