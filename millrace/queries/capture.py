@@ -85,11 +85,16 @@ def s6(spark: SparkSession, sf: str) -> DataFrame:
     return df.select("event_id", "raw.k", "type_text")
 
 
+def stream_path(sf: str, name: str) -> str:
+    """A glob, because a plain streaming path must be a folder and the tables may be single files."""
+    return f"{sf}/{{{name}}}.parquet"
+
+
 @query("s7_read_files", "SELECT event_id, event_type, value FROM events")
 def s7(spark: SparkSession, sf: str) -> DataFrame:
     """The parquet file followed as a stream until it is exhausted, then read back."""
     schema = table(spark, sf, "events").schema
-    stream = capture.read_files(spark, f"{sf}/events.parquet", "parquet", schema, tail=True,
+    stream = capture.read_files(spark, stream_path(sf, "events"), "parquet", schema, tail=True,
                                 **capture.source_pace(max_files=1000))
     rows = stream.select("event_id", "event_type", "value")
     return runs.to_files(rows, session.scratch_path(spark, "s7"))
@@ -110,7 +115,7 @@ def s8(spark: SparkSession, sf: str) -> DataFrame:
 def s9(spark: SparkSession, sf: str) -> DataFrame:
     """Orders drained in bounded micro-batches; the batches together hold every row once."""
     schema = table(spark, sf, "orders").schema
-    stream = capture.read_files(spark, f"{sf}/orders.parquet", "parquet", schema, tail=True,
-                                **capture.source_pace(max_bytes="64g"))
+    stream = capture.read_files(spark, stream_path(sf, "orders"), "parquet", schema, tail=True,
+                                **capture.source_pace(max_bytes=1 << 36))
     drained = runs.to_files(stream.select("o_orderkey", "o_orderstatus"), session.scratch_path(spark, "s9"))
     return drained.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))

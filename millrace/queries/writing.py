@@ -10,8 +10,8 @@ from millrace.queries.tables import CHANGES_SQL, event_changes, table
 
 
 def customer_batch(spark: SparkSession, sf: str) -> DataFrame:
-    """New versions of every third customer, and one new customer for each of them."""
-    changed = table(spark, sf, "customer").where("c_custkey % 3 = 0")
+    """New versions of the customers of two segments, and one new customer for each of them."""
+    changed = table(spark, sf, "customer").where(F.col("c_mktsegment").isin("MACHINERY", "HOUSEHOLD"))
     copies = F.explode(F.array(F.lit(0), F.lit(1)))
     return changed.withColumn("copy", copies).select(
         F.when(F.col("copy") == 0, F.col("c_custkey")).otherwise(-1 - F.col("c_custkey")).alias("c_custkey"),
@@ -20,9 +20,9 @@ def customer_batch(spark: SparkSession, sf: str) -> DataFrame:
 
 BATCH_SQL = """
     SELECT c_custkey, c_name, c_nationkey, c_acctbal + 1 AS c_acctbal, c_mktsegment
-    FROM customer WHERE c_custkey % 3 = 0
+    FROM customer WHERE c_mktsegment IN ('MACHINERY', 'HOUSEHOLD')
     UNION ALL
-    SELECT -1 - c_custkey, c_name, c_nationkey, c_acctbal + 1, c_mktsegment FROM customer WHERE c_custkey % 3 = 0
+    SELECT -1 - c_custkey, c_name, c_nationkey, c_acctbal + 1, c_mktsegment FROM customer WHERE c_mktsegment IN ('MACHINERY', 'HOUSEHOLD')
 """
 
 

@@ -166,7 +166,7 @@ def read_query(spark: SparkSession, query: str | None = None, table: str | None
     return out
 
 
-def source_pace(max_files: int | None = None, max_bytes: str | None = None) -> dict[str, object]:
+def source_pace(max_files: int | None = None, max_bytes: int | None = None) -> dict[str, object]:
     """Reader options that bound one micro-batch."""
     pairs = {"maxFilesPerTrigger": max_files, "maxBytesPerTrigger": max_bytes}
     return {k: v for k, v in pairs.items() if v is not None}
