@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions import values
 from millrace.operators import skew
+from millrace.sources import documents
 
 SEVERITIES = ("error", "warning", "info")
 ISSUE = "struct<severity:string,field:string,message:string,suggestion:string,auto_fixable:boolean>"
@@ -32,11 +33,11 @@ def collect_issues(*tables: DataFrame) -> DataFrame:
 
 
 # --- A10, A11, A12 as issues -------------------------------------------------------------------------------
+# Each check is an array column over matched records, so all of them run in the pass that reads the records.
 
-def unknown_class_issues(matched: DataFrame) -> DataFrame:
-    found = F.array(issue("warning", "connector.class", "Unknown connector class",
-                          "Check whether this needs a manual implementation"))
-    return _listed(matched.where(~F.col("known")), found, "record_id")
+def unknown_class() -> Column:
+    return F.array_compact(F.array(F.when(~F.col("known"), issue(
+        "warning", "connector.class", "Unknown connector class", "Check whether this needs a manual implementation"))))
 
 
 def _has(key: Column, settings: Column) -> Column:
@@ -51,18 +52,12 @@ def _has(key: Column, settings: Column) -> Column:
     )
 
 
-def audit_required_keys(matched: DataFrame, settings: str = "settings") -> DataFrame:
-    """An error per required key a record lacks. Row-local: the required list came with the catalog match."""
+def missing_required(settings: str = "settings") -> Column:
     lacking = F.filter("required", lambda k: ~_has(k, F.col(settings)))
-    return _listed(matched, F.transform(lacking, lambda k: issue(
-        "error", k, "Required field missing", "Add this field to the definition")), "record_id")
+    return F.transform(lacking, lambda k: issue("error", k, "Required field missing", "Add this field to the definition"))
 
 
-def audit_forbidden_values(matched: DataFrame, settings: str = "settings") -> DataFrame:
-    """A warning per unsupported ``key=value`` a record has; a feature without ``=`` means the key is present.
-
-    Values compare as text, so a JSON ``true`` equals ``true``.
-    """
+def forbidden_values(settings: str = "settings") -> Column:
     s = F.col(settings)
 
     def key(feature: Column) -> Column:
@@ -73,26 +68,91 @@ def audit_forbidden_values(matched: DataFrame, settings: str = "settings") -> Da
         return F.when(F.contains(feature, F.lit("=")), F.coalesce(F.element_at(s, key(feature)) == wanted, F.lit(False))
                       ).otherwise(F.map_contains_key(s, feature))
 
-    return _listed(matched, F.transform(F.filter("unsupported", present), lambda f: issue(
+    return F.transform(F.filter("unsupported", present), lambda f: issue(
         "warning", key(f), F.concat(F.lit("Unsupported feature detected: "), f),
-        "This feature may need manual configuration")), "record_id")
+        "This feature may need manual configuration"))
+
+
+def audit_required_keys(matched: DataFrame, settings: str = "settings") -> DataFrame:
+    """An error per required key a record lacks."""
+    return _listed(matched, missing_required(settings), "record_id")
+
+
+def audit_forbidden_values(matched: DataFrame, settings: str = "settings") -> DataFrame:
+    """A warning per unsupported ``key=value`` a record has; a feature without ``=`` means the key is present.
+
+    Values compare as text, so a JSON ``true`` equals ``true``.
+    """
+    return _listed(matched, forbidden_values(settings), "record_id")
+
 
+def missing_entries(entries: DataFrame, expected: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
+    """A11 on long tables: (record_id, key) pairs expected but absent.
 
-def missing_entries(entries: DataFrame, expected: DataFrame) -> DataFrame:
-    """A11 on long tables: (record_id, key) pairs expected but absent. Pairs are reduced before the join."""
+    ``keys`` names every key that can be expected; other entries are then skipped before the shuffle.
+    """
+    if keys is not None:
+        entries = entries.where(F.col("key").isin(list(keys)))
     have = entries.select("record_id", "key").distinct()
     return expected.select("record_id", "key").join(have, ["record_id", "key"], "left_anti")
 
 
+def _step_issues(step: Column, class_name: Column, status: Column) -> Column:
+    field = F.concat(F.lit("transforms."), step)
+    unknown = issue("warning", field, F.concat(F.lit("Unknown transform: "), class_name),
+                    "This step may need a custom step")
+    partial = issue("warning", field, F.concat(F.lit("Transform partially supported: "), class_name),
+                    "Some settings may need manual adjustment")
+    return F.when(status == "manual", unknown).when(status == "partial", partial)
+
+
 def step_issues(classified: DataFrame) -> DataFrame:
-    """A warning per step that is unknown or only partly supported."""
-    field = F.concat(F.lit("transforms."), F.col("step"))
-    unknown = F.when(F.col("status") == "manual", issue(
-        "warning", field, F.concat(F.lit("Unknown transform: "), F.col("class")), "This step may need a custom step"))
-    partial = F.when(F.col("status") == "partial", issue(
-        "warning", field, F.concat(F.lit("Transform partially supported: "), F.col("class")),
-        "Some settings may need manual adjustment"))
-    return _listed(classified, F.array_compact(F.array(unknown, partial)), "record_id")
+    """A warning per classified step that is unknown or only partly supported."""
+    found = _step_issues(F.col("step"), F.col("class"), F.col("status"))
+    return _listed(classified, F.array_compact(F.array(found)), "record_id")
+
+
+def with_issues(matched: DataFrame, step_catalog: DataFrame, settings: str = "settings") -> DataFrame:
+    """A10-A13 in one pass: add ``steps`` (with status) and ``issues`` to every matched record.
+
+    The step catalog, a table of at most ``SMALL_ROWS`` classes, travels as one map.
+    """
+    table = {r["class"]: r["status"] for r in step_catalog.limit(skew.SMALL_ROWS + 1).collect()}
+    if len(table) > skew.SMALL_ROWS:
+        raise ValueError("use classify_steps, which joins, for a step catalog of this size")
+    statuses = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
+
+    def classified(step: Column) -> Column:
+        plain = F.split_part(step["class"], F.lit("$"), F.lit(1))
+        return step.withField("status", F.coalesce(F.element_at(statuses, plain), F.lit("manual")))
+
+    steps = F.transform(documents.steps_of(F.col(settings)), classified)
+    found = F.transform("steps", lambda s: _step_issues(s["step"], s["class"], s["status"]))
+    return matched.withColumn("steps", steps).withColumn(
+        "issues", F.concat(unknown_class(), missing_required(settings), forbidden_values(settings),
+                           F.array_compact(found)))
+
+
+def record_issues(audited: DataFrame) -> DataFrame:
+    """The long issue table of ``with_issues``."""
+    return _listed(audited, F.col("issues"), "record_id")
+
+
+def outcomes(audited: DataFrame, settings: str = "settings") -> DataFrame:
+    """Result per record: status, errors, warnings, ``manual`` (a warning asks for manual work), ``has_secret``.
+
+    Records with errors fail. All of it is row-local.
+    """
+
+    def having(severity: str) -> Column:
+        return F.size(F.filter("issues", lambda i: i["severity"] == severity))
+
+    secret = F.exists(F.map_keys(settings), lambda k: F.lower(k).rlike("password|secret"))
+    manual = F.exists("issues", lambda i: F.lower(F.concat(i["message"], i["suggestion"])).contains("manual"))
+    return audited.select(
+        "record_id", "class", having("error").alias("errors"), having("warning").alias("warnings"),
+        manual.alias("manual"), secret.alias("has_secret"),
+    ).withColumn("status", F.when(F.col("errors") > 0, "failed").otherwise("success"))
 
 
 # --- A28 ---------------------------------------------------------------------------------------------------

@@ -82,15 +82,30 @@ def match_classes(classes: DataFrame, catalog: DataFrame) -> DataFrame:
     return found.groupBy("class").agg(best).select("class", "best.key")
 
 
-def match_catalog(records: DataFrame, catalog: DataFrame) -> DataFrame:
+INLINE_KEYS = 100  # a catalog of at most this many keys is matched inside each row
+
+
+def best_key(class_name: Column, keys: list[str]) -> Column:
+    """The same rule as ``match_classes`` for a short list of keys, as one expression."""
+    out = F.when(class_name == "", None).when(class_name.isin(keys), class_name)
+    for key in sorted(keys, key=lambda k: (-len(k), k)):
+        out = out.when(F.contains(class_name, F.lit(key)) | F.contains(F.lit(key), class_name), key)
+    return out
+
+
+def match_catalog(records: DataFrame, catalog: DataFrame, inline_keys: int = INLINE_KEYS) -> DataFrame:
     """Add the catalog columns to each record by its ``class``; ``catalog_class`` is null without a match.
 
-    Only distinct classes are compared. Their matches are checkpointed, counted and broadcast when small; a large class
-    table is joined with the hot classes salted.
+    A short catalog is matched row by row, in the pass that reads the records. With a longer one only distinct classes
+    are compared; their matches are checkpointed, counted and broadcast when small, else joined with hot classes salted.
     """
+    attributes = catalog.withColumnRenamed("class", "catalog_class").dropDuplicates(["catalog_class"])
+    keys = [r[0] for r in catalog.select("class").where("class <> ''").limit(inline_keys + 1).collect()]
+    if len(keys) <= inline_keys:
+        found = records.withColumn("catalog_class", best_key(F.col("class"), keys) if keys else F.lit(None).cast("string"))
+        return found.join(F.broadcast(attributes), "catalog_class", "left")
     session.shared_folder(records.sparkSession)
-    attributes = catalog.withColumnRenamed("class", "key").dropDuplicates(["key"])
-    matched = match_classes(records, catalog).join(attributes, "key").withColumnRenamed("key", "catalog_class")
+    matched = match_classes(records, catalog).withColumnRenamed("key", "catalog_class").join(attributes, "catalog_class")
     return skew.lookup(records, matched.checkpoint(), ["class"], "left")
 
 

@@ -32,7 +32,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Da
     The counts are partial before the shuffle, so a hot key costs one row per map task.
     """
     counts = df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
-    total = df.agg(F.count(F.lit(1))).scalar()
+    total = counts.agg(F.sum("_n")).scalar()
     return counts.where((F.col("_n") > hot_rows) & (F.col("_n") > total / MAX_HOT_KEYS)).drop("_n")
 
 

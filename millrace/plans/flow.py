@@ -9,17 +9,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from millrace import session
 from millrace.functions import text
 from millrace.operators import skew
 
 
 def topic_links(heads: DataFrame) -> DataFrame:
-    """(record_id, name, topic, kind), once per record and topic."""
-    return (
+    """(record_id, name, topic, kind), once per record and topic.
+
+    The links are checkpointed: every result here reads them several times, and they are far smaller than the documents.
+    """
+    session.shared_folder(heads.sparkSession)
+    links = (
         heads.select("record_id", "name", text.kind(F.col("class")).alias("kind"),
                      F.explode(F.array_distinct("topics")).alias("topic"))
         .where(F.col("kind") != "unknown")
     )
+    return links.checkpoint()
 
 
 def dependency_edges(heads: DataFrame) -> DataFrame:
@@ -55,12 +61,11 @@ def dependencies_of(heads: DataFrame, wanted: DataFrame) -> DataFrame:
     )
 
 
-def dependency_counts(heads: DataFrame) -> DataFrame:
+def dependency_counts(links: DataFrame) -> DataFrame:
     """(record_id, dependencies) of sinks: how many sources write the topics it reads, counted per topic.
 
     Sources are counted per topic first, so the join carries one number instead of the sources.
     """
-    links = topic_links(heads)
     sinks, sources = links.where("kind = 'sink'"), links.where("kind = 'source'")
     per_topic = sources.groupBy("topic").agg(F.count(F.lit(1)).alias("writers"))
     namesakes = sources.groupBy("topic", "name").agg(F.count(F.lit(1)).alias("own"))
@@ -72,7 +77,7 @@ def dependency_counts(heads: DataFrame) -> DataFrame:
     return counted.groupBy("record_id").agg(F.sum("others").alias("dependencies"))
 
 
-def prioritised(heads: DataFrame) -> DataFrame:
+def prioritised(heads: DataFrame, links: DataFrame) -> DataFrame:
     """Add ``priority`` (source 1, else change capture 0, else sink 2, else 3) and ``dependencies``."""
     name = F.lower("class")
     priority = (
@@ -80,27 +85,28 @@ def prioritised(heads: DataFrame) -> DataFrame:
         .when(F.contains(name, F.lit("sink")), 2).otherwise(3)
     )
     return (
-        heads.join(dependency_counts(heads), "record_id", "left").na.fill(0, ["dependencies"])
+        heads.join(dependency_counts(links), "record_id", "left").na.fill(0, ["dependencies"])
         .withColumn("priority", priority)
     )
 
 
 def order_plan(heads: DataFrame) -> DataFrame:
     """Records in order of priority, dependencies, name; ``rank`` counts from 1 over all records."""
-    plan = prioritised(heads).select("record_id", "name", "priority", "dependencies")
+    plan = prioritised(heads, topic_links(heads)).select("record_id", "name", "priority", "dependencies")
     numbered = skew.dense_index(plan, ["priority", "dependencies", "name", "record_id"])
     return numbered.withColumn("rank", F.col("_index") + 1).drop("_index")
 
 
 def shared_flow(heads: DataFrame) -> DataFrame:
     """One row, true when any dependency exists or a record shares a topic with the first of the plan."""
+    links = topic_links(heads)
     linked = (
-        topic_links(heads).groupBy("topic").agg(
+        links.groupBy("topic").agg(
             F.bool_or(F.col("kind") == "sink").alias("read"), F.bool_or(F.col("kind") == "source").alias("written"),
             (F.min("name") != F.max("name")).alias("two"))
         .agg(F.coalesce(F.bool_or(F.col("read") & F.col("written") & F.col("two")), F.lit(False)).alias("v")).scalar()
     )
-    plan = prioritised(heads)
+    plan = prioritised(heads, links)
     first = plan.agg(F.min_by(F.struct("record_id", "topics"),
                               F.struct("priority", "dependencies", "name", "record_id"))).scalar()
     shares = heads.where((F.col("record_id") != first["record_id"]) & F.arrays_overlap("topics", first["topics"]))

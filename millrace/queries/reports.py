@@ -4,19 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.operators import audit
+from millrace.operators import audit, catalog
 from millrace.plans import flow, rollups
 from millrace.queries import query
-from millrace.queries.inventory import CLASSIFIED_SQL, FORBIDDEN_SQL, REQUIRED_SQL, classified, heads, matched
-from millrace.queries.tables import DEFS_SQL, MATCHED_SQL, definitions, table
-from millrace.sources import documents
+from millrace.queries.inventory import CLASSIFIED_SQL, FORBIDDEN_SQL, REQUIRED_SQL, heads, matched
+from millrace.queries.tables import DEFS_SQL, MATCHED_SQL, table
 
 
-def issues(spark: SparkSession, sf: str) -> DataFrame:
-    found = matched(spark, sf)
-    return audit.collect_issues(
-        audit.unknown_class_issues(found), audit.audit_required_keys(found), audit.audit_forbidden_values(found),
-        audit.step_issues(classified(spark, sf)))
+def audited(spark: SparkSession, sf: str) -> DataFrame:
+    return audit.with_issues(matched(spark, sf), catalog.load_step_catalog(spark))
 
 
 ISSUES_SQL = f"""
@@ -32,7 +28,7 @@ ISSUES_SQL = f"""
 
 @query("a13_collect_issues", ISSUES_SQL)
 def a13(spark: SparkSession, sf: str) -> DataFrame:
-    return issues(spark, sf).select("record_id", "severity", "field", "message")
+    return audit.record_issues(audited(spark, sf)).select("record_id", "severity", "field", "message")
 
 
 @query("a15_plan_summary", f"""
@@ -51,7 +47,8 @@ def a15(spark: SparkSession, sf: str) -> DataFrame:
         UNION ALL SELECT CASE status WHEN 'supported' THEN 15 ELSE 120 END FROM ({CLASSIFIED_SQL})))
 """)
 def a16(spark: SparkSession, sf: str) -> DataFrame:
-    return rollups.effort_by_status(matched(spark, sf), classified(spark, sf))
+    found = audited(spark, sf)
+    return rollups.effort_by_status(found)
 
 
 @query("a17_effort_by_catalog", f"""
@@ -64,14 +61,7 @@ def a17(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def outcomes(spark: SparkSession, sf: str) -> DataFrame:
-    """The result of each record: records with errors fail, the others count their warnings."""
-    counts = issues(spark, sf).groupBy("record_id").agg(
-        F.count_if(F.col("severity") == "error").alias("errors"),
-        F.count_if(F.col("severity") == "warning").alias("warnings"),
-        F.bool_or(F.contains("message", F.lit("Unknown"))).alias("manual"))
-    joined = heads(spark, sf).select("record_id", "class").join(counts, "record_id", "left")
-    return joined.na.fill({"errors": 0, "warnings": 0, "manual": False}).withColumn(
-        "status", F.when(F.col("errors") > 0, "failed").otherwise("success"))
+    return audit.outcomes(audited(spark, sf))
 
 
 OUTCOMES_SQL = f"""
@@ -79,7 +69,7 @@ OUTCOMES_SQL = f"""
            coalesce(manual, false) AS manual, CASE WHEN errors > 0 THEN 'failed' ELSE 'success' END AS status
     FROM ({DEFS_SQL}) d LEFT JOIN (
         SELECT record_id, count(*) FILTER (severity = 'error') AS errors,
-               count(*) FILTER (severity = 'warning') AS warnings, bool_or(contains(message, 'Unknown')) AS manual
+               count(*) FILTER (severity = 'warning') AS warnings, bool_or(message LIKE 'Unknown connector%' OR message LIKE 'Unsupported%') AS manual
         FROM ({ISSUES_SQL}) GROUP BY record_id) i ON i.record_id = d.record_id
 """
 
@@ -181,12 +171,13 @@ def a23_classes(spark: SparkSession, sf: str) -> DataFrame:
     FROM ({ISSUES_SQL}) GROUP BY severity
 """)
 def a24(spark: SparkSession, sf: str) -> DataFrame:
-    return rollups.severity_counts(issues(spark, sf))
+    return rollups.severity_counts(audit.record_issues(audited(spark, sf)))
 
 
 @query("a24_severity_messages", f"SELECT severity, message, count(*) AS n FROM ({ISSUES_SQL}) GROUP BY ALL")
 def a24_messages(spark: SparkSession, sf: str) -> DataFrame:
-    return rollups.severity_messages(issues(spark, sf)).select("severity", "message", "n")
+    found = audit.record_issues(audited(spark, sf))
+    return rollups.severity_messages(found).select("severity", "message", "n")
 
 
 @query("a25_recommend", f"""
@@ -196,7 +187,7 @@ def a24_messages(spark: SparkSession, sf: str) -> DataFrame:
             || ' records need manual configuration.']) AS recommendation
 """)
 def a25(spark: SparkSession, sf: str) -> DataFrame:
-    return rollups.recommend(outcomes(spark, sf), documents.entries(definitions(spark, sf)), k=3)
+    return rollups.recommend(outcomes(spark, sf), k=3)
 
 
 def stage_rows(spark: SparkSession, sf: str) -> DataFrame:

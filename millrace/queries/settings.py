@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from millrace import session
 from millrace.functions import text
 from millrace.operators import audit, catalog, settings
 from millrace.queries import query
@@ -83,7 +84,7 @@ def a27(spark: SparkSession, sf: str) -> DataFrame:
 def a27_text(spark: SparkSession, sf: str) -> DataFrame:
     """Sensitive settings written into running text."""
     keys = F.regexp_extract_all("text", F.lit(r'([A-Za-z_]+) ?[=:] ?"[^"\n]*"'), F.lit(1))
-    found = table(spark, sf, "documents").select("doc_id", F.explode(keys).alias("key"))
+    found = session.spread(table(spark, sf, "documents"), "doc_id").select("doc_id", F.explode(keys).alias("key"))
     return settings.find_sensitive_keys(found).groupBy("key").agg(
         F.count(F.lit(1)).alias("n"), F.countDistinct("doc_id").alias("documents"))
 

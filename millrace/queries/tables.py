@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from millrace import session
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -81,7 +83,7 @@ def definitions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "value.converter.schema.registry.ssl": F.when(status == "O", "on"),
     }
     pairs = F.map_from_arrays(F.array(*[F.lit(k) for k in settings]), F.array(*settings.values()))
-    return table(spark, sf_dir, "orders").select(
+    return session.spread(table(spark, sf_dir, "orders"), "o_orderkey").select(
         number.alias("record_id"), F.map_filter(pairs, lambda k, v: v.isNotNull()).alias("settings"),
         (F.col("o_custkey") % 25).cast("int").alias("group"))
 

@@ -134,35 +134,40 @@ def _truth(text: Column) -> Column:
     return F.coalesce(F.lower(text).isin("1", "t", "true"), F.lit(False))
 
 
-def explode_steps(records: DataFrame, settings: str = "settings") -> DataFrame:
-    """One row per listed step in order: record_id, pos, step, class, predicate, negate, step_settings.
+def steps_of(settings: Column) -> Column:
+    """The listed steps in order: array of (pos, step, class, predicate, negate, step_settings).
 
     The list is comma text or a JSON array. Nested keys such as ``target.type`` belong to the step's settings.
     """
-    s = F.col(settings)
-    text = maps.trimmed(s["transforms"])
+    text = maps.trimmed(settings["transforms"])
     listed = F.when(F.startswith(text, F.lit("[")),
                     F.filter(F.transform(F.from_json(text, "array<string>"), maps.trimmed), lambda n: n != "")
                     ).otherwise(maps.listed(text))
-    prefix = F.concat(F.lit("transforms."), F.col("step"), F.lit("."))
-
-    def own(name: str) -> Column:
-        return F.element_at(s, F.concat(prefix, F.lit(name)))
-
-    def inner(found: Column, start: Column) -> Column:
-        length = F.length(start)
-        mine = F.map_filter(found, lambda k, v: F.startswith(k, start)
-                            & ~F.substr(k, length + 1).isin("type", "predicate", "negate", ""))
-        return F.transform_keys(mine, lambda k, v: F.substr(k, length + 1))
-
-    return (
-        records.select("record_id", settings, F.posexplode(listed).alias("pos", "step"))
-        .select("record_id", "pos", "step",
-                F.coalesce(own("type"), F.lit("")).alias("class"),
-                maps.filled(own("predicate")).alias("predicate"),
-                _truth(own("negate")).alias("negate"),
-                inner(s, prefix).alias("step_settings"))
-    )
+
+    def step(name: Column, pos: Column) -> Column:
+        prefix = F.concat(F.lit("transforms."), name, F.lit("."))
+        mine = F.map_filter(settings, lambda k, v: F.startswith(k, prefix))
+        own = F.transform(F.array(mine), lambda m: _step_fields(m, name, pos, prefix))
+        return own[0]
+
+    return F.transform(F.coalesce(listed, F.array().cast("array<string>")), step)
+
+
+def _step_fields(mine: Column, name: Column, pos: Column, prefix: Column) -> Column:
+    def own(key: str) -> Column:
+        return F.element_at(mine, F.concat(prefix, F.lit(key)))
+
+    length = F.length(prefix)
+    others = F.map_filter(mine, lambda k, v: ~F.substr(k, length + 1).isin("type", "predicate", "negate", ""))
+    return F.struct(
+        pos.alias("pos"), name.alias("step"), F.coalesce(own("type"), F.lit("")).alias("class"),
+        maps.filled(own("predicate")).alias("predicate"), _truth(own("negate")).alias("negate"),
+        F.transform_keys(others, lambda k, v: F.substr(k, length + 1)).alias("step_settings"))
+
+
+def explode_steps(records: DataFrame, settings: str = "settings") -> DataFrame:
+    """One row per step: record_id, pos, step, class, predicate, negate, step_settings."""
+    return records.select("record_id", F.inline(steps_of(F.col(settings))))
 
 
 # --- A6 ----------------------------------------------------------------------------------------------------
