@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, functions as F
 
@@ -23,6 +23,17 @@ def filled(col: Column) -> Column:
     return F.nullif(col, F.lit(""))
 
 
+def bind(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn(value)`` with ``value`` computed once, however often ``fn`` uses it."""
+    return F.transform(F.array(value), fn)[0]
+
+
+def distinct_keys(found: Column) -> Column:
+    """A parsed map whose text may have repeated a key; of a repeated key the last value stays."""
+    keys = F.map_keys(found)
+    return F.when(F.size(F.array_distinct(keys)) < F.size(keys), last_wins(F.map_entries(found))).otherwise(found)
+
+
 def last_wins(pairs: Column) -> Column:
     """Map from an array of (key, value) structs; of a repeated key the last value stays.
 
@@ -34,9 +45,7 @@ def last_wins(pairs: Column) -> Column:
         last = F.filter(rows, lambda e, i: ~e["key"].eqNullSafe(F.get(rows, i + 1)["key"]))
         return F.transform(last, lambda e: F.struct(e["key"], e["value"]))
 
-    # The one-element array binds the sorted rows once instead of once per lambda call.
-    bound = F.transform(F.array(F.array_sort(placed)), pick)
-    return F.map_from_entries(bound[0])
+    return F.map_from_entries(bind(F.array_sort(placed), pick))
 
 
 def overlay(base: Column, top: Column) -> Column:

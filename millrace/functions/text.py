@@ -113,7 +113,7 @@ def connection_url(url: Column) -> Column:
         return F.struct(protocol.alias("protocol"), *[c.alias(n) for n, c in fields.items()],
                         family.alias("family"), others.alias("params"))
 
-    good = F.transform(F.array(params), build)[0]
+    good = maps.bind(params, build)
     return F.struct(F.when(error.isNull(), good).alias("parts"), error.alias("error"))
 
 

@@ -20,7 +20,7 @@ def issue(severity: str, field: Column | str, message: Column | str, suggestion:
         return F.lit(value) if isinstance(value, str) else value
 
     return F.struct(F.lit(severity).alias("severity"), text(field).alias("field"), text(message).alias("message"),
-                    F.lit(suggestion).alias("suggestion"), F.lit(False).alias("auto_fixable")).cast(ISSUE)
+                    F.lit(suggestion).alias("suggestion"), F.lit(False).alias("auto_fixable"))
 
 
 def _listed(df: DataFrame, issues: Column, *ids: str) -> DataFrame:

@@ -30,8 +30,9 @@ def tag_records(df: DataFrame, column: str, schema: T.StructType, null_policy: s
               broken[malformed_policy].cast("string"))
         .otherwise(F.lit("good"))
     )
+    # ``inline`` keeps a later filter on the verdict from being pushed below the parse and parsing twice.
     return (
-        df.withColumn("_parsed", parsed)
+        df.select("*", F.inline(F.array(F.struct(parsed.alias("_parsed")))))
         .withColumn("verdict", verdict)
         .withColumn(out, F.when(F.col("verdict") == "good", F.col("_parsed").dropFields(CORRUPT)))
         .drop("_parsed")

@@ -14,18 +14,32 @@ from millrace.functions import text
 from millrace.operators import skew
 
 
-def topic_links(heads: DataFrame) -> DataFrame:
-    """(record_id, name, topic, kind), once per record and topic.
+def flow_nodes(heads: DataFrame) -> DataFrame:
+    """(record_id, name, class, topics) of every record, checkpointed.
 
-    The links are checkpointed: every result here reads them several times, and they are far smaller than the documents.
+    The results below read it several times, and it is far smaller than the documents it comes from.
     """
     session.shared_folder(heads.sparkSession)
-    links = (
-        heads.select("record_id", "name", text.kind(F.col("class")).alias("kind"),
+    return heads.select("record_id", "name", "class", "topics").checkpoint()
+
+
+def topic_links(nodes: DataFrame) -> DataFrame:
+    """(record_id, name, topic, kind) of sources and sinks, once per record and topic."""
+    return (
+        nodes.select("record_id", "name", text.kind(F.col("class")).alias("kind"),
                      F.explode(F.array_distinct("topics")).alias("topic"))
         .where(F.col("kind") != "unknown")
     )
-    return links.checkpoint()
+
+
+def _topic_ends(links: DataFrame) -> DataFrame:
+    """Per topic: whether a dependency runs through it, that is a sink and a source of different names."""
+    return (
+        links.groupBy("topic").agg(
+            F.bool_or(F.col("kind") == "sink").alias("read"), F.bool_or(F.col("kind") == "source").alias("written"),
+            F.min("name").alias("low"), F.max("name").alias("high"))
+        .select("topic", (F.col("read") & F.col("written") & (F.col("low") != F.col("high"))).alias("linked"))
+    )
 
 
 def dependency_edges(heads: DataFrame) -> DataFrame:
@@ -33,14 +47,8 @@ def dependency_edges(heads: DataFrame) -> DataFrame:
 
     A sink depends on a source exactly when a path of two edges joins them and their names differ.
     """
-    links = topic_links(heads)
-    both = (
-        links.groupBy("topic").agg(F.bool_or(F.col("kind") == "sink").alias("read"),
-                                   F.bool_or(F.col("kind") == "source").alias("written"),
-                                   F.min("name").alias("low"), F.max("name").alias("high"))
-        .where("read AND written AND low <> high").select("topic")
-    )
-    used = skew.salted_join(links, both, ["topic"], "left_semi")
+    links = topic_links(flow_nodes(heads))
+    used = skew.salted_join(links, _topic_ends(links).where("linked").select("topic"), ["topic"], "left_semi")
     node = F.concat(F.lit("topic:"), F.col("topic"))
     sink = F.col("kind") == "sink"
     return used.select(F.when(sink, F.col("record_id")).otherwise(node).alias("from_node"),
@@ -52,7 +60,7 @@ def dependencies_of(heads: DataFrame, wanted: DataFrame) -> DataFrame:
 
     The result has one row per chosen sink and source it reads from, which is what the caller asked to see.
     """
-    links = topic_links(heads)
+    links = topic_links(flow_nodes(heads))
     sinks = links.where("kind = 'sink'").join(wanted.select("record_id").distinct(), "record_id", "left_semi")
     sources = links.where("kind = 'source'").select("topic", F.col("name").alias("depends_on"))
     return (
@@ -77,7 +85,10 @@ def dependency_counts(links: DataFrame) -> DataFrame:
     return counted.groupBy("record_id").agg(F.sum("others").alias("dependencies"))
 
 
-def prioritised(heads: DataFrame, links: DataFrame) -> DataFrame:
+ORDER = ("priority", "dependencies", "name", "record_id")
+
+
+def prioritised(nodes: DataFrame) -> DataFrame:
     """Add ``priority`` (source 1, else change capture 0, else sink 2, else 3) and ``dependencies``."""
     name = F.lower("class")
     priority = (
@@ -85,29 +96,22 @@ def prioritised(heads: DataFrame, links: DataFrame) -> DataFrame:
         .when(F.contains(name, F.lit("sink")), 2).otherwise(3)
     )
     return (
-        heads.join(dependency_counts(links), "record_id", "left").na.fill(0, ["dependencies"])
+        nodes.join(dependency_counts(topic_links(nodes)), "record_id", "left").na.fill(0, ["dependencies"])
         .withColumn("priority", priority)
     )
 
 
 def order_plan(heads: DataFrame) -> DataFrame:
     """Records in order of priority, dependencies, name; ``rank`` counts from 1 over all records."""
-    plan = prioritised(heads, topic_links(heads)).select("record_id", "name", "priority", "dependencies")
-    numbered = skew.dense_index(plan, ["priority", "dependencies", "name", "record_id"])
+    plan = prioritised(flow_nodes(heads)).select("record_id", "name", "priority", "dependencies")
+    numbered = skew.dense_index(plan, ORDER)
     return numbered.withColumn("rank", F.col("_index") + 1).drop("_index")
 
 
 def shared_flow(heads: DataFrame) -> DataFrame:
     """One row, true when any dependency exists or a record shares a topic with the first of the plan."""
-    links = topic_links(heads)
-    linked = (
-        links.groupBy("topic").agg(
-            F.bool_or(F.col("kind") == "sink").alias("read"), F.bool_or(F.col("kind") == "source").alias("written"),
-            (F.min("name") != F.max("name")).alias("two"))
-        .agg(F.coalesce(F.bool_or(F.col("read") & F.col("written") & F.col("two")), F.lit(False)).alias("v")).scalar()
-    )
-    plan = prioritised(heads, links)
-    first = plan.agg(F.min_by(F.struct("record_id", "topics"),
-                              F.struct("priority", "dependencies", "name", "record_id"))).scalar()
-    shares = heads.where((F.col("record_id") != first["record_id"]) & F.arrays_overlap("topics", first["topics"]))
+    nodes = flow_nodes(heads)
+    linked = _topic_ends(topic_links(nodes)).agg(F.coalesce(F.bool_or("linked"), F.lit(False))).scalar()
+    first = prioritised(nodes).agg(F.min_by(F.struct("record_id", "topics"), F.struct(*ORDER))).scalar()
+    shares = nodes.where((F.col("record_id") != first["record_id"]) & F.arrays_overlap("topics", first["topics"]))
     return shares.agg((linked | (F.count(F.lit(1)) > 0)).alias("combined"))

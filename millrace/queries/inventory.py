@@ -62,12 +62,12 @@ def event_documents(spark: SparkSession, sf: str) -> DataFrame:
     WHERE event_id % 10 = 3
 """)
 def a2(spark: SparkSession, sf: str) -> DataFrame:
-    good, dead = documents.parse_documents(event_documents(spark, sf))
-    found = documents.entries(good).where("key <> 'value'")
-    nested = F.get_json_object("value", "$.k")
-    read = found.select("record_id", F.when(F.col("key") == "props", "props.k").otherwise(F.col("key")).alias("key"),
-                        F.when(F.col("key") == "props", nested).otherwise(F.col("value")).alias("value"))
-    return read.unionByName(dead.select("record_id", F.lit("error").alias("key"), F.col("error").alias("value")))
+    tagged = documents.tag_documents(event_documents(spark, sf))
+    both = F.coalesce("settings", F.create_map(F.lit("error"), F.col("error")))
+    found = tagged.select("record_id", F.explode(both)).where("key <> 'value'")
+    nested = F.col("key") == "props"
+    return found.select("record_id", F.when(nested, "props.k").otherwise(F.col("key")).alias("key"),
+                        F.when(nested, F.get_json_object("value", "$.k")).otherwise(F.col("value")).alias("value"))
 
 
 @query("a3_parse_properties_documents", """

@@ -51,13 +51,14 @@ def json_settings(text: Column) -> Column:
     """
 
     def unwrap(top: Column) -> Column:
-        config = F.from_json(top["config"], _JSON_MAP)
-        wrapped = top["connector.class"].isNull() & top["class"].isNull() & config.isNotNull()
         outer = F.filter(F.map_entries(top), lambda e: e["key"] != "config")
-        return F.when(wrapped, maps.last_wins(F.concat(outer, F.map_entries(config)))).otherwise(top)
+        inside = maps.bind(F.from_json(top["config"], _JSON_MAP), lambda config: F.coalesce(
+            maps.last_wins(F.concat(outer, F.map_entries(config))), top))
+        bare = top["connector.class"].isNull() & top["class"].isNull()
+        return F.when(bare & F.startswith(F.ltrim(top["config"]), F.lit("{")), inside).otherwise(top)
 
-    top = F.when(F.ltrim(text).startswith("{"), maps.last_wins(F.map_entries(F.from_json(text, _JSON_MAP))))
-    return F.transform(F.array(top), unwrap)[0]
+    parsed = F.when(F.ltrim(text).startswith("{"), F.from_json(text, _JSON_MAP))
+    return maps.bind(maps.bind(parsed, maps.distinct_keys), unwrap)
 
 
 # A comment line, or a line with the lines its trailing backslashes join to it.
@@ -88,7 +89,10 @@ def parse_documents(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def tag_documents(docs: DataFrame) -> DataFrame:
-    """One pass: add ``settings`` and ``error`` (null when the document could be read)."""
+    """One pass: add ``settings`` and ``error`` (null when the document could be read).
+
+    The parse sits behind ``inline``: a later filter on ``error`` cannot be pushed below it and parse twice.
+    """
     settings = (
         F.when(F.col("format") == "json", json_settings(F.col("text")))
         .when(F.col("format") == "properties", properties_settings(F.col("text")))
@@ -97,7 +101,8 @@ def tag_documents(docs: DataFrame) -> DataFrame:
         F.when(F.col("format").isNull(), "unsupported file format")
         .when(F.col("settings").isNull(), "document is not a JSON object")
     )
-    return docs.withColumn("settings", settings).withColumn("error", error).drop("text")
+    parsed = F.inline(F.array(F.struct(settings.alias("settings"))))
+    return docs.select("*", parsed).withColumn("error", error).drop("text")
 
 
 def entries(records: DataFrame) -> DataFrame:
@@ -144,25 +149,26 @@ def steps_of(settings: Column) -> Column:
                     F.filter(F.transform(F.from_json(text, "array<string>"), maps.trimmed), lambda n: n != "")
                     ).otherwise(maps.listed(text))
 
-    def step(name: Column, pos: Column) -> Column:
-        prefix = F.concat(F.lit("transforms."), name, F.lit("."))
-        mine = F.map_filter(settings, lambda k, v: F.startswith(k, prefix))
-        own = F.transform(F.array(mine), lambda m: _step_fields(m, name, pos, prefix))
-        return own[0]
+    def all_steps(mine: Column) -> Column:
+        def step(name: Column, pos: Column) -> Column:
+            return maps.bind(F.concat(F.lit("transforms."), name, F.lit(".")), lambda prefix: maps.bind(
+                F.map_filter(mine, lambda k, v: F.startswith(k, prefix)),
+                lambda found: _step_fields(found, name, pos, prefix)))
+
+        return F.transform(F.coalesce(listed, F.array().cast("array<string>")), step)
 
-    return F.transform(F.coalesce(listed, F.array().cast("array<string>")), step)
+    return maps.bind(F.map_filter(settings, lambda k, v: F.startswith(k, F.lit("transforms."))), all_steps)
 
 
 def _step_fields(mine: Column, name: Column, pos: Column, prefix: Column) -> Column:
     def own(key: str) -> Column:
         return F.element_at(mine, F.concat(prefix, F.lit(key)))
 
-    length = F.length(prefix)
-    others = F.map_filter(mine, lambda k, v: ~F.substr(k, length + 1).isin("type", "predicate", "negate", ""))
+    suffixes = F.transform_keys(mine, lambda k, v: F.substr(k, F.length(prefix) + 1))
     return F.struct(
         pos.alias("pos"), name.alias("step"), F.coalesce(own("type"), F.lit("")).alias("class"),
         maps.filled(own("predicate")).alias("predicate"), _truth(own("negate")).alias("negate"),
-        F.transform_keys(others, lambda k, v: F.substr(k, length + 1)).alias("step_settings"))
+        F.map_filter(suffixes, lambda k, v: ~k.isin("type", "predicate", "negate", "")).alias("step_settings"))
 
 
 def explode_steps(records: DataFrame, settings: str = "settings") -> DataFrame:
