@@ -26,3 +26,4 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def load_all() -> None:
     from millrace.queries import capture, inventory, layout, records, reports, settings, writing  # noqa: F401
+    from millrace.queries import streams  # noqa: F401  (reuses the SQL registered above)

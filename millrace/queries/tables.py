@@ -21,10 +21,14 @@ def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return event_envelopes(table(spark, sf_dir, "events"))
+
+
+def event_envelopes(events: DataFrame) -> DataFrame:
     """``events`` as change envelopes per user: signup creates, error deletes, everything else updates."""
     image = F.struct("user_id", "event_type", "value")
     op = F.when(F.col("event_type") == "signup", "c").when(F.col("event_type") == "error", "d").otherwise("u")
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         op.alias("op"),
         F.when(op == "d", image).alias("before"),
         F.when(op != "d", image).alias("after"),

@@ -1,0 +1,66 @@
+"""W5 on a stream: fold change records into a table that is too large to rewrite per batch.
+
+Every micro-batch is reduced to its last change per key and written to a folder of its own, so repeating a batch after
+a failure replaces its folder and nothing else. Readers fold the folders; ``compact`` folds them into a base from time
+to time. Only folders that Spark marked finished are read.
+
+    root/changes/batch=N    last change per key of micro-batch N
+    root/base/upto=N        last change per key of all batches up to N
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from millrace.operators import steps, writes
+from millrace.streaming import runs
+
+
+def finished(spark: SparkSession, folder: str) -> dict[int, str]:
+    """Number -> path of the finished ``name=N`` folders below ``folder``."""
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(conf)
+    if not fs.exists(path):
+        return {}
+    out = {}
+    for status in fs.listStatus(path):
+        child = status.getPath()
+        if "=" in child.getName() and fs.exists(jvm.org.apache.hadoop.fs.Path(child, "_SUCCESS")):
+            out[int(child.getName().rsplit("=", 1)[1])] = child.toString()
+    return out
+
+
+def record_changes(changes: DataFrame, root: str, keys: Sequence[str], order: Sequence[str],
+                   interval_ms: int | None = None) -> None:
+    """Run a stream of change envelopes into the log at ``root``."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        last = writes.last_per_key(steps.unwrap_cdc(batch), keys, order)
+        last.write.mode("overwrite").parquet(f"{root}/changes/batch={number}")
+
+    runs.each_batch(changes, write, f"{root}/checkpoint", interval_ms)
+
+
+def _last_changes(spark: SparkSession, root: str, keys: Sequence[str], order: Sequence[str]) -> tuple[DataFrame, int]:
+    bases, batches = finished(spark, f"{root}/base"), finished(spark, f"{root}/changes")
+    upto = max(bases, default=-1)
+    paths = ([bases[upto]] if bases else []) + [p for n, p in sorted(batches.items()) if n > upto]
+    if not paths:
+        raise ValueError(f"no finished batch below {root}")
+    return writes.last_per_key(spark.read.parquet(*paths), keys, order), max([upto, *batches])
+
+
+def current_state(spark: SparkSession, root: str, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The table the log describes: the last change of each key, without deleted rows."""
+    last, _ = _last_changes(spark, root, keys, order)
+    return last.where(~F.col("__deleted")).drop("__deleted", *order)
+
+
+def compact(spark: SparkSession, root: str, keys: Sequence[str], order: Sequence[str]) -> int:
+    """Write a base that covers all finished batches. Deletions stay in it, so a late older change cannot undo them."""
+    last, upto = _last_changes(spark, root, keys, order)
+    last.write.mode("overwrite").parquet(f"{root}/base/upto={upto}")
+    return upto

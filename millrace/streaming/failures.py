@@ -1,0 +1,42 @@
+"""W17 on a stream: the failure threshold over the last records of a key, in arrival order."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator, Sequence
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from millrace.operators import deadletter
+
+
+def nack_breaches_stream(df: DataFrame, keys: Sequence[str], order: Sequence[str], bad: Column, size: int,
+                         threshold: int) -> DataFrame:
+    """Positions where the last ``size`` records of a key hold at least ``threshold`` failures.
+
+    The state of a key is the flags of its last ``size - 1`` records. Records are sorted by ``order`` within a
+    micro-batch and follow arrival order between batches. A key's share of one micro-batch is handled at once, so
+    bound the batch with ``source_pace``.
+    """
+    if not deadletter.check_window(size, threshold):
+        raise ValueError("the threshold is off: give size and threshold")
+    narrow = df.select(*keys, *order, F.coalesce(bad, F.lit(False)).cast("int").alias("_bad"))
+    fields = [narrow.schema[c] for c in (*keys, *order)]
+    out = T.StructType([*fields, T.StructField("failures", T.LongType())])
+    state_type = T.StructType([T.StructField("flags", T.BinaryType())])
+    columns, by, keep = [*keys, *order, "failures"], list(order), size - 1
+
+    def count(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        rows = pd.concat(list(frames)).sort_values(by)
+        old = np.frombuffer(state.get[0], dtype=np.uint8) if state.exists else np.zeros(0, dtype=np.uint8)
+        flags = np.concatenate([old, rows["_bad"].to_numpy(dtype=np.uint8)])
+        running = np.concatenate([[0], np.cumsum(flags, dtype=np.int64)])
+        ends = np.arange(len(old), len(flags)) + 1
+        rows["failures"] = running[ends] - running[np.maximum(ends - size, 0)]
+        state.update((flags[len(flags) - min(keep, len(flags)):].tobytes(),))
+        yield rows.loc[rows["failures"] >= threshold, columns]
+
+    return narrow.groupBy(*keys).applyInPandasWithState(
+        count, out, state_type, "append", GroupStateTimeout.NoTimeout)
