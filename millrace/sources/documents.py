@@ -29,11 +29,9 @@ def is_worker(path: Column) -> Column:
 
 def scan_documents(spark: SparkSession, path: str) -> DataFrame:
     """All .json and .properties files below ``path``: record_id (the path), format, worker, text."""
-    files = (
-        spark.read.option("wholetext", True).option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.{[jJ][sS][oO][nN],[pP][rR][oO][pP][eE][rR][tT][iI][eE][sS]}")
-        .text(path)
-    )
+    files = spark.read.text(
+        path, wholetext=True, recursiveFileLookup=True,
+        pathGlobFilter="*.{[jJ][sS][oO][nN],[pP][rR][oO][pP][eE][rR][tT][iI][eE][sS]}")
     name = F.col("_metadata.file_path")
     return files.select(name.alias("record_id"), document_format(name).alias("format"), is_worker(name).alias("worker"),
                         F.col("value").alias("text"))
