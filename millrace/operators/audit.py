@@ -12,6 +12,7 @@ from millrace.operators import skew
 from millrace.sources import documents
 
 SEVERITIES = ("error", "warning", "info")
+INLINE_STEPS = 1000
 ISSUE = "struct<severity:string,field:string,message:string,suggestion:string,auto_fixable:boolean>"
 
 
@@ -115,11 +116,12 @@ def step_issues(classified: DataFrame) -> DataFrame:
 def with_issues(matched: DataFrame, step_catalog: DataFrame, settings: str = "settings") -> DataFrame:
     """A10-A13 in one pass: add ``steps`` (with status) and ``issues`` to every matched record.
 
-    The step catalog, a table of at most ``SMALL_ROWS`` classes, travels as one map.
+    The step catalog travels as one map, so it may hold at most ``INLINE_STEPS`` classes; ``classify_steps`` and
+    ``step_issues`` give the same rows by a join for a catalog of any size.
     """
-    table = {r["class"]: r["status"] for r in step_catalog.limit(skew.SMALL_ROWS + 1).collect()}
-    if len(table) > skew.SMALL_ROWS:
-        raise ValueError("use classify_steps, which joins, for a step catalog of this size")
+    table = {r["class"]: r["status"] for r in step_catalog.limit(INLINE_STEPS + 1).collect()}
+    if len(table) > INLINE_STEPS:
+        raise ValueError("step catalog too long to travel with each row; use classify_steps and step_issues")
     statuses = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
 
     def classified(step: Column) -> Column:
@@ -157,6 +159,8 @@ def outcomes(audited: DataFrame, settings: str = "settings") -> DataFrame:
 
 # --- A28 ---------------------------------------------------------------------------------------------------
 
+# Fixed values below: fields and messages of the document rules.
+
 Rule = tuple[str, str, str, Column]  # severity, field, message, the condition that breaks the rule
 
 

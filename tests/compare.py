@@ -47,10 +47,8 @@ def bag(columns: list[str], rows: list) -> Counter:
 def differences(spark, con, sf_dir: str, query, sql: str | None) -> list[str]:
     df = query(spark, sf_dir)
     rows = [tuple(r) for r in df.collect()]
-    if not df.columns or not rows:
-        return ["no rows"]
     if sql is None:
-        return []
+        return [] if rows else ["no rows"]
     result = con.execute(sql)
     names = [d[0] for d in result.description]
     expected = result.fetchall()
