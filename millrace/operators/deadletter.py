@@ -80,7 +80,7 @@ def nack_breaches(df: DataFrame, keys: Sequence[str], order: Sequence[str], bad:
         return rows.where(F.col("failures") >= threshold).select(*keys, *order, "failures")
 
     hot = skew.hot_keys(narrow, keys, hot_rows)
-    if hot.isEmpty():
+    if hot is None:
         return breaches(recent(narrow, keys, order))
 
     cold_rows, hot_part = skew.split_hot(narrow, keys, hot)

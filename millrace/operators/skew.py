@@ -25,15 +25,18 @@ def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return reduce(Column.__and__, [left[k].eqNullSafe(right[f"_k_{k}"]) for k in keys])
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys holding more than ``hot_rows`` rows and more than 1/MAX_HOT_KEYS of all rows.
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """Keys holding more than ``hot_rows`` rows and more than 1/MAX_HOT_KEYS of all rows; None when there are none.
 
-    Fewer than MAX_HOT_KEYS keys can satisfy the second condition, so the result may be broadcast.
-    The counts are partial before the shuffle, so a hot key costs one row per map task.
+    One pass over the key columns, run at once. The counts are partial before the shuffle, so a hot key costs one row
+    per map task. Fewer than MAX_HOT_KEYS keys can satisfy the second condition, so the driver may hold the list and
+    every task may get a copy; with no hot key the caller's plan stays as simple as if skew did not exist.
     """
     counts = df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n")).scalar()
-    return counts.where((F.col("_n") > hot_rows) & (F.col("_n") > total / MAX_HOT_KEYS)).drop("_n")
+    hot = counts.where((F.col("_n") > hot_rows) & (F.col("_n") > total / MAX_HOT_KEYS)).drop("_n")
+    found = hot.collect()
+    return df.sparkSession.createDataFrame(found, hot.schema) if found else None
 
 
 def split_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -51,6 +54,8 @@ def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str =
     Null keys never match, but they are spread too: left and anti joins keep their rows.
     """
     hot = hot_keys(big, on, hot_rows)
+    if hot is None:
+        return big.join(small, list(on), how)
     flag = F.broadcast(hot.withColumn("_hot", F.lit(True)))
 
     def marked(df: DataFrame) -> DataFrame:

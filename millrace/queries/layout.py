@@ -92,26 +92,24 @@ def w16(spark: SparkSession, sf: str) -> DataFrame:
 
 
 BREACHES_SQL = """
-    SELECT {key} ts, event_id, CAST(failures AS BIGINT) AS failures FROM (
-        SELECT user_id, ts, event_id,
-               sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) OVER (
-                   {part} ORDER BY ts, event_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS failures
+    SELECT {key}, ts, event_id, CAST(failures AS BIGINT) AS failures FROM (
+        SELECT {key}, ts, event_id, sum(CASE WHEN {bad} THEN 1 ELSE 0 END) OVER (
+                   PARTITION BY {key} ORDER BY ts, event_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS failures
         FROM events) WHERE failures >= 4
 """
 
 
-@query("w17_nack_breaches", BREACHES_SQL.format(key="user_id,", part="PARTITION BY user_id"))
+@query("w17_nack_breaches", BREACHES_SQL.format(key="user_id", bad="event_type = 'error'"))
 def w17(spark: SparkSession, sf: str) -> DataFrame:
     return deadletter.nack_breaches(table(spark, sf, "events"), ["user_id"], ["ts", "event_id"],
                                     F.col("event_type") == "error", 10, 4)
 
 
-@query("w17_nack_breaches_one_key", BREACHES_SQL.format(key="", part=""))
-def w17_one_key(spark: SparkSession, sf: str) -> DataFrame:
-    """One window over all events: the key is hot by construction and takes the numbered path."""
-    events = table(spark, sf, "events").withColumn("all", F.lit(1))
-    return deadletter.nack_breaches(events, ["all"], ["ts", "event_id"], F.col("event_type") == "error", 10, 4,
-                                    hot_rows=500).drop("all")
+@query("w17_nack_breaches_hot_keys", BREACHES_SQL.format(key="event_type", bad="value > 20"))
+def w17_hot_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Few keys with many records each; the low limit sends them down the numbered path."""
+    return deadletter.nack_breaches(table(spark, sf, "events"), ["event_type"], ["ts", "event_id"],
+                                    F.col("value") > 20, 10, 4, hot_rows=100)
 
 
 @query("w18_fan_out_by_topic", """

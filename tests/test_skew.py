@@ -28,6 +28,7 @@ def test_salted_join_equals_join(spark, how):
 
 def test_salted_join_spreads_the_hot_key(spark):
     big = skewed(spark)
+    assert skew.hot_keys(big, ["k"], 10_000) is None
     hot = skew.hot_keys(big, ["k"], 100)
     assert [r[0] for r in hot.collect()] == [0]
     cold_rows, hot_rows = skew.split_hot(big, ["k"], hot)
