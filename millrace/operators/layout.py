@@ -56,6 +56,13 @@ def cluster_layout(df: DataFrame, part_cols: str | Sequence[str], cluster_cols:
     return df.repartitionByRange(*lead, *spread).sortWithinPartitions(*lead)
 
 
+def bucketed_writer(df: DataFrame, buckets: int, keys: str | Sequence[str],
+                    cluster_cols: str | Sequence[str] = ()) -> DataFrameWriter:
+    """W13 for tables: ``saveAsTable`` keeps rows hashed by ``keys``, so later joins on them need no shuffle."""
+    names = _listed(keys)
+    return df.write.bucketBy(buckets, *names).sortBy(*(_listed(cluster_cols) or names))
+
+
 def _listed(names: str | Sequence[str]) -> list[str]:
     return [n.strip() for n in names.split(",") if n.strip()] if isinstance(names, str) else list(names)
 
@@ -110,7 +117,10 @@ def target_name(name_format: str | None = None, topic: str = "topic") -> Column:
 
 
 def fan_out_by_topic(df: DataFrame, name_format: str | None = None, topic: str = "topic", out: str = "target") -> DataFrame:
-    """Add the target name of every record; write with ``partitionBy(out)`` to feed all targets in one job."""
+    """Add the target name of every record; write with ``partitionBy(out)`` to feed all targets in one job.
+
+    With many targets apply ``cluster_layout`` on ``out`` first, else every task opens a file per target.
+    """
     return df.withColumn(out, target_name(name_format, topic))
 
 

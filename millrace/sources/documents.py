@@ -67,13 +67,14 @@ def properties_settings(text: Column) -> Column:
     """Map of a properties text: ``#`` and ``!`` comments, continuations, first ``=`` splits, one pair of matching quotes
     removed, the last of a repeated key stays."""
     body = F.regexp_replace(text, r"\r?\n\z", "")
-    lines = F.transform(F.regexp_extract_all(body, F.lit(_LOGICAL_LINE), F.lit(0)), maps.trimmed)
-    kept = F.filter(lines, lambda line: ~line.rlike("^[#!]") & (F.instr(line, "=") > 1))
+    lines = F.regexp_extract_all(body, F.lit(_LOGICAL_LINE), F.lit(0))
+    joined = F.transform(F.filter(lines, lambda line: ~line.rlike(r"^\s*[#!]")),
+                         lambda line: maps.trimmed(F.regexp_replace(line, r"\\[ \t\r]*\n[ \t]*", "")))
+    kept = F.filter(joined, lambda line: F.instr(line, "=") > 1)
 
     def pair(line: Column) -> Column:
-        joined = F.regexp_replace(line, r"\\[ \t\r]*\n[ \t]*", "")
-        key = maps.trimmed(F.regexp_extract(joined, r"(?s)^([^=]*)=", 1))
-        value = maps.trimmed(F.regexp_extract(joined, r"(?s)^[^=]*=(.*)$", 1))
+        key = maps.trimmed(F.regexp_extract(line, r"(?s)^([^=]*)=", 1))
+        value = maps.trimmed(F.regexp_extract(line, r"(?s)^[^=]*=(.*)$", 1))
         return F.struct(key.alias("key"), F.regexp_replace(value, r"(?s)\A([\"'])(.*)\1\z", "$2").alias("value"))
 
     return maps.last_wins(F.transform(kept, pair))

@@ -120,3 +120,16 @@ def test_targets(spark):
     assert layout.mirror_topics(df, "a.b", prefix="m.").first()["target"] == "m.a.b"
     body = layout.wrap_envelope(df, {"index": "i", "source": ""}, ["id"]).first()["body"]
     assert body == '{"event":{"id":1},"index":"i"}'
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
+    for name in ("left_rows", "right_rows"):
+        df = spark.range(100).withColumn("v", F.lit(name))
+        layout.bucketed_writer(df, 4, "id").option("path", str(tmp_path / name)).saveAsTable(name)
+    try:
+        joined = spark.table("left_rows").hint("merge").join(spark.table("right_rows"), "id")
+        assert joined.count() == 100
+        assert "Exchange hashpartitioning" not in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name in ("left_rows", "right_rows"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -195,3 +196,36 @@ def test_remap_value_map(spark):
                                   settings.RULES + ", value_map map<string,string>")
     df = spark.createDataFrame([("k", {"m": "old"}), ("k", {"m": "same"})], "kind string, settings map<string,string>")
     assert sorted(r["remapped"]["mode"] for r in settings.remap_keys(df, rules).collect()) == ["new", "same"]
+
+
+def brute_properties(text):
+    lines = [line.removesuffix("\r") for line in text.split("\n")]
+    if lines and lines[-1] == "":
+        lines.pop()
+    out, at = {}, 0
+    while at < len(lines):
+        line, at = lines[at].strip(), at + 1
+        if not line or line[0] in "#!":
+            continue
+        while line.endswith("\\") and at < len(lines):
+            line, at = line[:-1] + lines[at].strip(), at + 1
+        key, mark, value = line.partition("=")
+        if mark and key:
+            value = value.strip()
+            if len(value) >= 2 and value[0] == value[-1] and value[0] in "\"'":
+                value = value[1:-1]
+            out[key.strip()] = value
+    return out
+
+
+def test_properties_against_brute_force(spark):
+    picked = random.Random(11)
+    starts = ["a=", " b = ", "# c", "!d", "", "plain ", "a='q'", 'b="r" ', "=x", "c=d=e", "\t", "#e=f "]
+    ends = ["", "\\", "\r", " \\ ", "tail", "'"]
+    texts = ["\n".join(picked.choice(starts) + picked.choice(ends) for _ in range(picked.randrange(1, 9)))
+             + picked.choice(["", "\n"]) for _ in range(500)]
+    docs = spark.createDataFrame([(str(i), "properties", t) for i, t in enumerate(texts)],
+                                 "record_id string, format string, text string")
+    got = {int(r["record_id"]): r["settings"] for r in documents.parse_documents(docs)[0].collect()}
+    wrong = [(t, got.get(i), brute_properties(t)) for i, t in enumerate(texts) if got.get(i) != brute_properties(t)]
+    assert wrong == []
