@@ -29,11 +29,8 @@ def w5_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("w17_nack_breaches_stream", SQL["w17_nack_breaches"])
 def w17_stream(spark: SparkSession, sf: str) -> DataFrame:
-    # Python state functions take timestamps with a zone; the result goes back to the table's type.
-    events = event_stream(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
-    found = failures.nack_breaches_stream(events, ["user_id"], ["ts", "event_id"], F.col("event_type") == "error", 10, 4)
-    written = runs.to_files(found, session.scratch_path(spark, "w17-stream"))
-    return written.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    return failures.record_breaches(event_stream(spark, sf), session.scratch_path(spark, "w17-stream"), ["user_id"],
+                                    ["ts", "event_id"], F.col("event_type") == "error", 10, 4)
 
 
 @query("t13_apply_steps_stream", SQL["t13_apply_steps"])

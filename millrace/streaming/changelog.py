@@ -18,21 +18,6 @@ from millrace.operators import steps, writes
 from millrace.streaming import runs
 
 
-def finished(spark: SparkSession, folder: str) -> dict[int, str]:
-    """Number -> path of the finished ``name=N`` folders below ``folder``."""
-    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(conf)
-    if not fs.exists(path):
-        return {}
-    out = {}
-    for status in fs.listStatus(path):
-        child = status.getPath()
-        if "=" in child.getName() and fs.exists(jvm.org.apache.hadoop.fs.Path(child, "_SUCCESS")):
-            out[int(child.getName().rsplit("=", 1)[1])] = child.toString()
-    return out
-
-
 def record_changes(changes: DataFrame, root: str, keys: Sequence[str], order: Sequence[str],
                    interval_ms: int | None = None) -> None:
     """Run a stream of change envelopes into the log at ``root``."""
@@ -45,12 +30,10 @@ def record_changes(changes: DataFrame, root: str, keys: Sequence[str], order: Se
 
 
 def _last_changes(spark: SparkSession, root: str, keys: Sequence[str], order: Sequence[str]) -> tuple[DataFrame, int]:
-    bases, batches = finished(spark, f"{root}/base"), finished(spark, f"{root}/changes")
-    upto = max(bases, default=-1)
-    paths = ([bases[upto]] if bases else []) + [p for n, p in sorted(batches.items()) if n > upto]
+    paths, upto = runs.log_paths(spark, f"{root}/base", f"{root}/changes")
     if not paths:
         raise ValueError(f"no finished batch below {root}")
-    return writes.last_per_key(spark.read.parquet(*paths), keys, order), max([upto, *batches])
+    return writes.last_per_key(spark.read.parquet(*paths), keys, order), upto
 
 
 def current_state(spark: SparkSession, root: str, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

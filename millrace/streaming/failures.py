@@ -1,4 +1,13 @@
-"""W17 on a stream: the failure threshold over the last records of a key, in arrival order."""
+"""W17 on a stream: the failure threshold over the last records of a key, in arrival order.
+
+``record_breaches`` runs the batch operator on each micro-batch, so a hot key is spread over tasks; between batches it
+keeps the last records of each key in a log. ``nack_breaches_stateful`` keeps them in Spark's state store instead: less
+work per batch when batches are small and frequent, but a key's share of a batch goes through one task.
+
+    root/recent/batch=N     last ``size - 1`` records per key of micro-batch N
+    root/base/upto=N        the same over all batches up to N
+    root/breaches/batch=N   result of micro-batch N
+"""
 
 from __future__ import annotations
 
@@ -6,13 +15,58 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T, Window as W
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from millrace.operators import deadletter
+from millrace.operators import deadletter, skew
+from millrace.streaming import runs
+
+
+def record_breaches(df: DataFrame, root: str, keys: Sequence[str], order: Sequence[str], bad: Column, size: int,
+                    threshold: int, interval_ms: int | None = None, hot_rows: int = skew.HOT_ROWS) -> DataFrame:
+    """Run a stream into the log at ``root`` and return all breaches found so far.
+
+    Records follow ``order`` within a micro-batch and arrival order between batches. Every folder belongs to one batch
+    and is replaced when the batch is repeated.
+    """
+    _check(size, threshold)
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        new = batch.select(*keys, *order, F.coalesce(bad, F.lit(False)).alias("_bad"), F.lit(number).alias("_batch"))
+        rows, (paths, _) = new, runs.log_paths(spark, f"{root}/base", f"{root}/recent", before=number)
+        if paths:
+            touched = new.select(*[F.col(k).alias(f"_k_{k}") for k in keys]).distinct()
+            past = spark.read.parquet(*paths)
+            rows = new.unionByName(past.join(touched, skew.same_keys(past, touched, keys), "left_semi"))
+        found = deadletter.nack_breaches(rows, keys, ["_batch", *order], F.col("_bad"), size, threshold, hot_rows)
+        found = found.where(F.col("_batch") == number).drop("_batch")
+        found.write.mode("overwrite").parquet(f"{root}/breaches/batch={number}")
+        _recent(new, keys, order, size).write.mode("overwrite").parquet(f"{root}/recent/batch={number}")
+
+    runs.each_batch(df, write, f"{root}/checkpoint", interval_ms)
+    return df.sparkSession.read.parquet(*runs.finished(df.sparkSession, f"{root}/breaches").values())
+
 
+def _recent(rows: DataFrame, keys: Sequence[str], order: Sequence[str], size: int) -> DataFrame:
+    """The last ``size - 1`` records per key. Spark limits each group before the shuffle as well as after it."""
+    latest = W.partitionBy(*keys).orderBy(F.desc("_batch"), *[F.desc(c) for c in order])
+    return rows.withColumn("_n", F.row_number().over(latest)).where(F.col("_n") < size).drop("_n")
 
-def nack_breaches_stream(df: DataFrame, keys: Sequence[str], order: Sequence[str], bad: Column, size: int,
+
+def compact_recent(spark: SparkSession, root: str, keys: Sequence[str], order: Sequence[str], size: int) -> int:
+    """Fold the log of recent records into a base; later batches read the base and what came after it."""
+    paths, upto = runs.log_paths(spark, f"{root}/base", f"{root}/recent")
+    _recent(spark.read.parquet(*paths), keys, order, size).write.mode("overwrite").parquet(f"{root}/base/upto={upto}")
+    return upto
+
+
+def _check(size: int, threshold: int) -> None:
+    if not deadletter.check_window(size, threshold):
+        raise ValueError("the threshold is off: give size and threshold")
+
+
+def nack_breaches_stateful(df: DataFrame, keys: Sequence[str], order: Sequence[str], bad: Column, size: int,
                          threshold: int) -> DataFrame:
     """Positions where the last ``size`` records of a key hold at least ``threshold`` failures.
 
@@ -20,8 +74,7 @@ def nack_breaches_stream(df: DataFrame, keys: Sequence[str], order: Sequence[str
     micro-batch and follow arrival order between batches. A key's share of one micro-batch is handled at once, so
     bound the batch with ``source_pace``.
     """
-    if not deadletter.check_window(size, threshold):
-        raise ValueError("the threshold is off: give size and threshold")
+    _check(size, threshold)
     narrow = df.select(*keys, *order, F.coalesce(bad, F.lit(False)).cast("int").alias("_bad"))
     fields = [narrow.schema[c] for c in (*keys, *order)]
     out = T.StructType([*fields, T.StructField("failures", T.LongType())])

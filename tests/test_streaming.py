@@ -34,7 +34,7 @@ def test_changes(spark, folder, tmp_path):
     root, keys, order = str(tmp_path / "log"), ["user_id"], ["ts", "seq"]
     changelog.record_changes(event_envelopes(stream(spark, folder)), root, keys, order)
     expected = rows(writes.apply_changes(None, event_envelopes(spark.read.parquet(folder)), keys, order))
-    assert len(changelog.finished(spark, f"{root}/changes")) == 4
+    assert len(runs.finished(spark, f"{root}/changes")) == 4
     assert rows(changelog.current_state(spark, root, keys, order)) == expected
     assert changelog.compact(spark, root, keys, order) == 3
     assert rows(changelog.current_state(spark, root, keys, order)) == expected
@@ -48,18 +48,48 @@ def test_unfinished_batches_are_not_read(spark, tmp_path):
     spark.createDataFrame([(1, "a", False, 1)], "id int, v string, __deleted boolean, seq int").write.parquet(
         f"{root}/changes/batch=0")
     (tmp_path / "log" / "changes" / "batch=1").mkdir()
-    assert list(changelog.finished(spark, f"{root}/changes")) == [0]
+    assert list(runs.finished(spark, f"{root}/changes")) == [0]
     assert rows(changelog.current_state(spark, root, ["id"], ["seq"])) == [(1, "a")]
 
 
-@pytest.mark.parametrize("size,threshold", [(10, 4), (1, 1), (25, 6)])
-def test_failures(spark, folder, tmp_path, size, threshold):
-    keys, order, bad = ["user_id"], ["ts", "event_id"], F.col("event_type") == "error"
-    found = failures.nack_breaches_stream(stream(spark, folder), keys, order, bad, size, threshold)
-    batch = deadletter.nack_breaches(spark.read.parquet(folder), keys, order, bad, size, threshold)
+WINDOWS = [(10, 4), (1, 1), (25, 6)]
+KEYS, ORDER = ["user_id"], ["ts", "event_id"]
+
+
+def bad():
+    return F.col("event_type") == "error"
+
+
+@pytest.mark.parametrize("size,threshold", WINDOWS)
+def test_failures_in_the_state_store(spark, folder, tmp_path, size, threshold):
+    found = failures.nack_breaches_stateful(stream(spark, folder), KEYS, ORDER, bad(), size, threshold)
+    batch = deadletter.nack_breaches(spark.read.parquet(folder), KEYS, ORDER, bad(), size, threshold)
     assert rows(runs.to_files(found, str(tmp_path / "out"))) == rows(batch)
 
 
+@pytest.mark.parametrize("size,threshold", WINDOWS)
+@pytest.mark.parametrize("hot_rows", [10**6, 20])
+def test_failures_in_a_log(spark, folder, tmp_path, size, threshold, hot_rows):
+    root = str(tmp_path / "log")
+    batch = rows(deadletter.nack_breaches(spark.read.parquet(folder), KEYS, ORDER, bad(), size, threshold))
+    assert rows(failures.record_breaches(stream(spark, folder), root, KEYS, ORDER, bad(), size, threshold,
+                                         hot_rows=hot_rows)) == batch
+
+
+def test_log_goes_on_after_compaction(spark, folder, tmp_path):
+    root, path = str(tmp_path / "log"), str(tmp_path / "in")
+    parts = [spark.read.parquet(f) for f in sorted(spark.read.parquet(folder).inputFiles())]
+    parts = sorted(parts, key=lambda df: df.agg(F.min("event_id")).first()[0])
+    for part in parts[:2]:
+        part.coalesce(1).write.mode("append").parquet(path)
+    failures.record_breaches(stream(spark, path), root, KEYS, ORDER, bad(), 10, 4)
+    assert failures.compact_recent(spark, root, KEYS, ORDER, 10) == 1
+    for part in parts[2:]:
+        part.coalesce(1).write.mode("append").parquet(path)
+    got = failures.record_breaches(stream(spark, path), root, KEYS, ORDER, bad(), 10, 4)
+    assert rows(got) == rows(deadletter.nack_breaches(spark.read.parquet(folder), KEYS, ORDER, bad(), 10, 4))
+
+
 @pytest.mark.parametrize("change", [
     lambda df: steps.route_regex(df.withColumn("topic", F.col("event_type")), "(c.*)", "new-$1"),
     lambda df: steps.convert_timestamp(df, "ts", "string"),
