@@ -16,7 +16,8 @@ from millrace import session
 
 HOT_ROWS = 1_000_000       # a key with fewer rows than this fits one task
 MAX_HOT_KEYS = 10_000      # a hot key also holds more than 1/MAX_HOT_KEYS of the table
-SMALL_ROWS = 50_000        # largest lookup table that is broadcast
+SMALL_ROWS = 50_000        # largest lookup table that is broadcast, in rows
+SMALL_CHARS = 64 << 20     # and as JSON text
 SALTS = 64
 
 
@@ -69,10 +70,17 @@ def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str =
     return left.join(right, [*on, "_slot"], how).drop("_slot")
 
 
+def is_small(table: DataFrame) -> bool:
+    """Whether a lookup table stays within the row and text limits, by a count that stops at the row limit."""
+    text = F.length(F.to_json(F.struct(*table.columns)))
+    rows, chars = table.limit(SMALL_ROWS + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(text), F.lit(0))).first()
+    return rows <= SMALL_ROWS and chars <= SMALL_CHARS
+
+
 def lookup(big: DataFrame, table: DataFrame, on: Sequence[str], how: str = "left",
            hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Join with a reference table: broadcast when a bounded count proves it small, else salted."""
-    if table.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS:
+    """Join with a reference table: broadcast when a bounded check proves it small, else salted."""
+    if is_small(table):
         return big.join(F.broadcast(table), list(on), how)
     return salted_join(big, table, on, how, hot_rows)
 

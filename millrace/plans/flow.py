@@ -77,12 +77,11 @@ def dependency_counts(links: DataFrame) -> DataFrame:
     sinks, sources = links.where("kind = 'sink'"), links.where("kind = 'source'")
     per_topic = sources.groupBy("topic").agg(F.count(F.lit(1)).alias("writers"))
     namesakes = sources.groupBy("topic", "name").agg(F.count(F.lit(1)).alias("own"))
-    counted = (
-        skew.salted_join(sinks, per_topic, ["topic"], "inner")
-        .join(namesakes, ["topic", "name"], "left")
-        .withColumn("others", F.col("writers") - F.coalesce("own", F.lit(0)))
-    )
-    return counted.groupBy("record_id").agg(F.sum("others").alias("dependencies"))
+    counted = skew.salted_join(sinks, per_topic, ["topic"], "inner")
+    # Many records may share a name, so this join spreads hot keys too.
+    named = skew.salted_join(counted, namesakes, ["topic", "name"], "left")
+    others = F.col("writers") - F.coalesce("own", F.lit(0))
+    return named.groupBy("record_id").agg(F.sum(others).alias("dependencies"))
 
 
 ORDER = ("priority", "dependencies", "name", "record_id")

@@ -105,3 +105,15 @@ def test_cluster_layout_cuts_a_hot_partition(spark):
     finally:
         spark.conf.set(setting, "true")
     assert len(parts) > 1 and max(r["count"] for r in parts) < 0.45 * 8000
+
+
+def test_lookup_beyond_the_limits(spark, monkeypatch):
+    big, table = skewed(spark), spark.createDataFrame([(k, "v" * 10) for k in range(100)], "k bigint, v string")
+    expected = rows(big.join(table, "k", "left"))
+    assert skew.is_small(table)
+    assert rows(skew.lookup(big, table, ["k"])) == expected
+    monkeypatch.setattr(skew, "SMALL_CHARS", 100)
+    assert not skew.is_small(table)
+    assert rows(skew.lookup(big, table, ["k"], hot_rows=100).select("k", "id", "v")) == expected
+    monkeypatch.setattr(skew, "SMALL_ROWS", 50)
+    assert not skew.is_small(table)
