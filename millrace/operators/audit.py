@@ -136,8 +136,12 @@ def with_issues(matched: DataFrame, step_catalog: DataFrame, settings: str = "se
 
 
 def record_issues(audited: DataFrame) -> DataFrame:
-    """The long issue table of ``with_issues``."""
-    return _listed(audited, F.col("issues"), "record_id")
+    """The long issue table of ``with_issues``.
+
+    Spark adds filters on the size of a bare column given to ``inline`` and pushes them below the checks, which would
+    then run again for every filter. ``array_compact`` changes no value and keeps that from happening.
+    """
+    return _listed(audited, F.array_compact("issues"), "record_id")
 
 
 def outcomes(audited: DataFrame, settings: str = "settings") -> DataFrame:
