@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 SCALE = 256
 LEAF = 128
-SHARD_ROWS = 1 << 15
+SHARD_ROWS = 1 << 14
 QUERY_BLOCK = 1 << 13
 SEED_ROWS = 1 << 10
 EXACT = float(1 << 53)
@@ -45,13 +45,20 @@ def _matrix(vectors: pa.Array, width: int) -> np.ndarray:
     return out
 
 
-def products(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """Exact inner products: in floats where every sum stays below 2^53, else in Python's integers."""
-    most = np.abs(rows).max(initial=0) * np.abs(query).max(initial=0) * max(1, rows.shape[1])
+def products(rows: np.ndarray, queries: np.ndarray) -> np.ndarray:
+    """Exact inner products of all queries (first) and rows: in floats where every sum stays below 2^53, else in Python's integers."""
+    most = np.abs(rows).max(initial=0) * np.abs(queries).max(initial=0) * max(1, rows.shape[1])
     if most < EXACT:
-        return (rows @ query).astype(np.int64)
-    whole = [sum(int(a) * int(b) for a, b in zip(row, query)) for row in rows]
-    return np.array([max(-(1 << 63), min((1 << 63) - 1, x)) for x in whole], np.int64)
+        return queries @ rows.T
+    whole = [[sum(int(a) * int(b) for a, b in zip(row, query)) for row in rows] for query in queries]
+    return np.array([[max(-(1 << 63), min((1 << 63) - 1, x)) for x in line] for line in whole], np.int64)
+
+
+def padded(vectors: list[np.ndarray], width: int) -> np.ndarray:
+    out = np.zeros((len(vectors), width))
+    for row, vector in zip(out, vectors):
+        row[:len(vector)] = vector
+    return out
 
 
 class Tree:
@@ -84,7 +91,8 @@ class Tree:
         found = np.maximum(queries, 0) @ self.high.T + np.minimum(queries, 0) @ self.low.T
         return found + np.abs(found) * 1e-9
 
-    def best(self, query: np.ndarray, bounds: np.ndarray, ids: np.ndarray, own: int, k: int, kth: float) -> list[tuple]:
+    def best(self, query: np.ndarray, bounds: np.ndarray, ids: np.ndarray, own: int, k: int, kth: float,
+             exact: bool) -> list[tuple]:
         """The k highest (score, -id), and none that is below ``kth``; equal scores keep the smaller id."""
         top: list[tuple[int, int]] = []
         heap = [(-bounds[0], 0)]
@@ -98,7 +106,8 @@ class Tree:
                         heapq.heappush(heap, (-bounds[child], child))
                 continue
             rows = self.order[slice(*self.range[node])]
-            scores = products(self.points[rows], query)
+            own_points = self.points[rows]
+            scores = own_points @ query if exact else products(own_points, query[None])[0]
             good = np.flatnonzero((scores >= kth) & (ids[rows] != own))
             for at in good:
                 item = (int(scores[at]), -int(ids[rows[at]]))
@@ -123,14 +132,14 @@ def _searcher(query_ids: np.ndarray, queries: list[np.ndarray], kths: np.ndarray
             vectors = pa.concat_arrays(vectors.chunks)
         width = max([len(q) for q in queries] + [int(np.diff(np.asarray(vectors.offsets)).max(initial=0))])
         tree = Tree(_matrix(vectors, width))
-        asked = np.array([np.pad(q, (0, width - len(q))) for q in queries])
-        found = []
+        asked, found = padded(queries, width), []
+        exact = np.abs(tree.points).max(initial=0) * np.abs(asked).max(initial=0) * max(1, width) < EXACT
         for first in range(0, len(asked), 256):
             block = asked[first:first + 256]
             bounds = tree.bounds(block)
             for n, query in enumerate(block):
                 own = int(query_ids[first + n])
-                for score, vec_id in tree.best(query, bounds[n], ids, own, k, kths[first + n]):
+                for score, vec_id in tree.best(query, bounds[n], ids, own, k, kths[first + n], exact):
                     found.append((own, -vec_id, score))
         if found:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)],
@@ -138,12 +147,12 @@ def _searcher(query_ids: np.ndarray, queries: list[np.ndarray], kths: np.ndarray
     return search
 
 
-def _first_kth(query_id: int, query: np.ndarray, ids: np.ndarray, seeds: list[np.ndarray], k: int) -> float:
-    width = max([len(query), *map(len, seeds)])
-    rows = np.array([np.pad(s, (0, width - len(s))) for s in seeds])[ids != query_id]
-    if len(rows) < k:
-        return float("-inf")
-    return float(np.sort(products(rows, np.pad(query, (0, width - len(query)))))[-k]) * 1.0
+def _first_kths(query_ids: np.ndarray, queries: list[np.ndarray], ids: np.ndarray, seeds: list[np.ndarray], k: int) -> np.ndarray:
+    """For each query a score that its k best rows reach: the kth best of the seeds, less its own row."""
+    width = max([0, *map(len, queries), *map(len, seeds)])
+    scores = products(padded(seeds, width), padded(queries, width)).astype(np.float64)
+    scores[query_ids[:, None] == ids] = -np.inf
+    return np.sort(scores, 1)[:, -k] if scores.shape[1] >= k else np.full(len(queries), -np.inf)
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
@@ -159,7 +168,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     asked, found = queries.toLocalIterator(), []
     while block := list(islice(asked, QUERY_BLOCK)):
         ids, own = np.array([r.vec_id for r in block], np.int64), [scaled(r) for r in block]
-        kths = np.array([_first_kth(i, q, seed_ids, seed_rows, k) for i, q in zip(ids, own)])
+        kths = _first_kths(ids, own, seed_ids, seed_rows, k)
         found.append(shards.mapInArrow(_searcher(ids, own, kths, k), FOUND))
     if not found:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
