@@ -178,17 +178,32 @@ def starred(classes: DataFrame) -> DataFrame:
     return near.groupBy("node").agg(F.min("least.node").alias("a")).select("a", F.col("node").alias("b"))
 
 
+def prefix_size(n: Column) -> Column:
+    part, whole = SIMILAR
+    return n - F.ceil(n * part / whole) + 1
+
+
 def tile_pairs(prefixes: DataFrame) -> DataFrame:
-    """The pairs of classes of different components that share a tile, fit in size and pass the bound of their signatures."""
-    tokens = prefixes.select("node", "component", F.explode("tokens").alias("token"))
+    """The pairs of classes of different components that share tiles, fit in size and pass two bounds of their overlap.
+
+    Tiles hold ids and sizes only. A pair is counted in all its tiles: the shingles outside both prefixes that it can share are no more
+    than either rest is long. Signatures then go to the pairs that are left, not to every row of every tile.
+    """
+    tokens = prefixes.select("node", "component", "n", F.explode("tokens").alias("token"))
     open_tiles = tokens.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
     tiles = saved(tokens.join(open_tiles.select("token"), "token"), "tiles")
-    sides = saved(tiles.join(prefixes.select("node", "n", "bits"), "node"), "sides")
-    x, y = (sides.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "component", "n", "bits")]) for s in "xy")
-    return x.join(y, "token").where(
-        (F.col("node_x") < F.col("node_y")) & (F.col("component_x") != F.col("component_y")) & fitting(F.col("n_x"), F.col("n_y"))
-        & (overlap_bound(F.col("n_x"), F.col("bits_x"), F.col("n_y"), F.col("bits_y")) >= overlap_needed(F.col("n_x"), F.col("n_y")))
-    ).select(F.col("node_x").alias("a"), F.col("node_y").alias("b")).distinct()
+    x, y = (tiles.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "component", "n")]) for s in "xy")
+    n_x, n_y = F.col("n_x"), F.col("n_y")
+    counted = x.join(y, "token").where(
+        (F.col("node_x") < F.col("node_y")) & (F.col("component_x") != F.col("component_y")) & fitting(n_x, n_y)
+    ).groupBy("node_x", "node_y", "n_x", "n_y").agg(F.count(F.lit(1)).alias("many"))
+    rest = F.greatest(n_x - prefix_size(n_x), n_y - prefix_size(n_y))
+    near = counted.where(F.col("many") + rest >= overlap_needed(n_x, n_y))
+    x, y = (prefixes.select(*[F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "bits")]) for s in "xy")
+    signed_pairs = near.join(x, ["node_x", "n_x"]).join(y, ["node_y", "n_y"])
+    bound = overlap_bound(n_x, F.col("bits_x"), n_y, F.col("bits_y"))
+    return signed_pairs.where(bound >= overlap_needed(n_x, n_y)).select(
+        F.col("node_x").alias("a"), F.col("node_y").alias("b")).distinct()
 
 
 def joined(docs: DataFrame) -> DataFrame:
