@@ -14,13 +14,14 @@ from millrace.sources import capture
 # --- W9, W10 -----------------------------------------------------------------------------------------------
 
 def path_segments(path_format: str) -> list[tuple[str, str]]:
-    """(column, date pattern) per ``/``-separated segment; a segment is ``'name='pattern`` or a bare pattern.
+    """(column, date pattern) per ``/``-separated segment.
 
-    ``YYYY`` is the calendar year, as connector configs use it.
+    A segment is a bare pattern or names its column: ``'name='pattern``, ``'name'=pattern`` or ``name=pattern``. ``YYYY`` is the
+    calendar year, as connector configs use it.
     """
     out = []
     for i, segment in enumerate(path_format.strip("/").split("/")):
-        named = re.fullmatch(r"'([^'=]+)='(.+)", segment)
+        named = re.fullmatch(r"'?([^'=]+)(?:='|'?=)(.+)", segment)
         name, pattern = named.groups() if named else (f"part{i}", segment)
         out.append((name, pattern.replace("Y", "y")))
     return out
@@ -70,8 +71,11 @@ def _listed(names: str | Sequence[str]) -> list[str]:
 # --- W11, W12, W14 -----------------------------------------------------------------------------------------
 
 def choose_format(format_class: str | None) -> str:
-    """``json`` unless the class name says parquet."""
-    return "parquet" if "parquet" in (format_class or "").lower() else "json"
+    """``json`` unless the class name says parquet. Avro, which this build cannot write, is refused."""
+    name = (format_class or "").lower()
+    if "avro" in name:
+        raise ValueError(f"the format of {format_class} is not available; use parquet or json")
+    return "parquet" if "parquet" in name else "json"
 
 
 # Codec names of connector configs that Spark spells differently.

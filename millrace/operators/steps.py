@@ -47,7 +47,7 @@ def route_logical_table(df: DataFrame, regex: str, replacement: str, key: str =
 # --- T2 ----------------------------------------------------------------------------------------------------
 
 def timestamp_to(field: str, target: str, fmt: str = "yyyy-MM-dd HH:mm:ss", out: str | None = None) -> Step:
-    """Convert between timestamp, date, epoch milliseconds (``unix``) and text (``string``)."""
+    """Convert between timestamp, date, milliseconds of the day (``time``), epoch milliseconds (``unix``) and text (``string``)."""
 
     def step(df: DataFrame) -> Change:
         kind, source = df.schema[field].dataType, F.col(field)
@@ -60,6 +60,7 @@ def timestamp_to(field: str, target: str, fmt: str = "yyyy-MM-dd HH:mm:ss", out:
         results = {
             "timestamp": moment,
             "date": F.to_date(moment),
+            "time": (F.pmod(F.unix_millis(moment), F.lit(86_400_000))).cast("int"),
             "unix": F.unix_millis(moment),
             "string": F.date_format(moment, fmt),
         }
@@ -183,10 +184,15 @@ def when_predicate(df: DataFrame, step: Step, predicate: Column | str, negate: b
 
 # --- T8, T9, T10, T11 --------------------------------------------------------------------------------------
 
+# Type names of connector configs that Spark spells differently.
+CAST_TYPES = {"int8": "tinyint", "int16": "smallint", "int32": "int", "int64": "bigint", "float32": "float",
+              "float64": "double"}
+
+
 def cast_to(spec: str | Mapping[str, str]) -> Step:
     """``field:type`` pairs; a value that does not fit becomes null (ANSI mode would fail the job)."""
     pairs = dict(p.strip().split(":", 1) for p in spec.split(",")) if isinstance(spec, str) else dict(spec)
-    return lambda df: Change({f: F.col(f).try_cast(t) for f, t in pairs.items()})
+    return lambda df: Change({f: F.col(f).try_cast(CAST_TYPES.get(t.strip(), t.strip())) for f, t in pairs.items()})
 
 
 def cast_fields(df: DataFrame, spec: str | Mapping[str, str]) -> DataFrame:
@@ -202,8 +208,8 @@ def extract_field(df: DataFrame, field: str, column: str = "value") -> DataFrame
     return apply(df, extracted(field, column))
 
 
-def flattened(delimiter: str = ".", columns: Sequence[str] | None = None) -> Step:
-    """Turn nested structs into top-level columns; maps and arrays stay whole."""
+def flattened(delimiter: str = ".", columns: Sequence[str] | None = None, but: Sequence[str] = ()) -> Step:
+    """Turn nested structs (``columns``, or all but ``but``) into top-level columns; maps and arrays stay whole."""
 
     def leaves(prefix: Column, name: str, kind: T.DataType) -> list[tuple[str, Column]]:
         if not isinstance(kind, T.StructType):
@@ -213,7 +219,7 @@ def flattened(delimiter: str = ".", columns: Sequence[str] | None = None) -> Ste
 
     def step(df: DataFrame) -> Change:
         roots = [f for f in df.schema.fields if isinstance(f.dataType, T.StructType)
-                 and (columns is None or f.name in columns)]
+                 and (f.name not in but if columns is None else f.name in columns)]
         put = {name: col for f in roots for name, col in leaves(F.col(f.name), f.name, f.dataType)}
         return Change(put, tuple(f.name for f in roots))
 
@@ -257,15 +263,23 @@ def _names(settings: Mapping[str, str], *keys: str) -> list[str]:
 
 
 def _insert_settings(s: Mapping[str, str]) -> Step:
-    for meta, column in (("topic.field", "topic"), ("timestamp.field", "ts"),
-                         ("offset.field", "offset"), ("partition.field", "partition")):
-        if meta in s:
-            return inserted(s[meta], meta=column)
-    return inserted(s["static.field"], s.get("static.value"))
+    """All fields that the settings name, in one change."""
+    put = {s[meta]: F.col(column) for meta, column in (("topic.field", "topic"), ("timestamp.field", "ts"),
+                                                       ("offset.field", "offset"), ("partition.field", "partition")) if meta in s}
+    if "static.field" in s:
+        put[s["static.field"]] = F.lit(s.get("static.value"))
+    if not put:
+        raise ValueError("InsertField names no field")
+    return lambda df: Change(dict(put))
+
+
+def _flatten_settings(s: Mapping[str, str], side: str | None) -> Step:
+    """``$Key`` flattens the key alone, ``$Value`` all but the key."""
+    return flattened(s.get("delimiter", "."), ["key"] if side == "Key" else None, ["key"] if side == "Value" else ())
 
 
 # Step classes of the public connector framework, without package and $Key/$Value suffix.
-STEP_CLASSES: dict[str, Callable[[Mapping[str, str]], Step]] = {
+STEP_CLASSES: dict[str, Callable[..., Step]] = {
     "RegexRouter": lambda s: regex_route(s["regex"], s["replacement"]),
     "TimestampConverter": lambda s: timestamp_to(
         s["field"], s.get("target.type", "timestamp").lower(), s.get("format", "yyyy-MM-dd HH:mm:ss")),
@@ -276,13 +290,16 @@ STEP_CLASSES: dict[str, Callable[[Mapping[str, str]], Step]] = {
     "MaskField": lambda s: masked(_names(s, "fields"), s.get("replacement")),
     "Filter": lambda s: filtered(s.get("condition")),
     "Cast": lambda s: cast_to(s["spec"]),
-    "ExtractField": lambda s: extracted(s["field"]),
-    "Flatten": lambda s: flattened(s.get("delimiter", ".")),
+    "ExtractField": lambda s, side: extracted(s["field"], "key" if side == "Key" else "value"),
+    "Flatten": _flatten_settings,
     "ExtractNewRecordState": lambda s: unwrapped(_flag(s, "drop.tombstones", True)),
     "ByLogicalTableRouter": lambda s: logical_table(s["topic.regex"], s["topic.replacement"],
                                                     shard=s.get("key.field.name", "shard")),
 }
 
+#: Step classes whose suffix decides which side of a record they change.
+SIDED = ("ExtractField", "Flatten")
+
 _custom: dict[str, Callable[[DataFrame], DataFrame]] = {}
 
 
@@ -290,6 +307,11 @@ def step_name(class_name: str) -> str:
     return class_name.rsplit(".", 1)[-1].split("$", 1)[0]
 
 
+def step_side(class_name: str) -> str | None:
+    """``Key`` or ``Value`` of a class name's suffix."""
+    return class_name.rsplit("$", 1)[1] if "$" in class_name else None
+
+
 def custom_step(class_name: str, fn: Callable[[DataFrame], DataFrame]) -> None:
     """Register a user step. ``fn`` may use any DataFrame operation, pandas UDFs and ``mapInPandas`` included."""
     _custom[class_name] = fn
@@ -314,7 +336,9 @@ def apply_steps(df: DataFrame, steps: Sequence[Mapping],
             else:
                 df = _custom[name](df.where(holds)).unionByName(df.where(~holds), allowMissingColumns=True)
         elif step_name(name) in STEP_CLASSES:
-            df = apply(df, STEP_CLASSES[step_name(name)](item.get("settings") or {}), holds)
+            kind, settings = step_name(name), item.get("settings") or {}
+            step = STEP_CLASSES[kind](settings, step_side(name)) if kind in SIDED else STEP_CLASSES[kind](settings)
+            df = apply(df, step, holds)
         else:
             unknown.append(f"processor-{i}:{name}")
     if unknown:

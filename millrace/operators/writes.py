@@ -44,7 +44,14 @@ def write_update(target: DataFrame, rows: DataFrame, keys: Sequence[str]) -> Dat
 
 
 def write_upsert(target: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """W3, the default mode: change existing keys, add new ones."""
+    """W3, the default mode: change existing keys, add new ones.
+
+    Rows with all columns replace the target's by an anti join on their keys, so a small batch is broadcast and the target isn't
+    shuffled. Where a column is missing the old value is kept, which takes a full join.
+    """
+    if set(target.columns) <= set(rows.columns):
+        kept = target.join(rows.select(*keys).distinct(), list(keys), "left_anti").select(*target.columns)
+        return kept.unionByName(rows.select(*target.columns))
     return _merge(target, rows, keys, "full").select(*_chosen(target, rows))
 
 
@@ -150,8 +157,9 @@ def assign_document_id(df: DataFrame, strategy: str = "bson_objectid", fields: S
         holder = key if strategy == "partial_key" else value
         new = F.to_json(F.struct(*[F.col(f"{holder}.{f}").alias(f) for f in fields]))
     else:
-        parts = [F.coalesce(F.col(f).cast("string"), F.lit("")) for f in fields]
-        text = F.concat_ws("|", *parts) if fields else F.to_json(value)
+        # As JSON with nulls kept, so neighbouring fields cannot run together.
+        parts = F.struct(*[F.col(f).cast("string").alias(f"f{k}") for k, f in enumerate(fields)])
+        text = F.to_json(parts, {"ignoreNullFields": "false"}) if fields else F.to_json(value)
         new = F.substring(F.sha2(text, 256), 1, 24)
     return df.withColumn(out, new)
 

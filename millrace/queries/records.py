@@ -164,3 +164,48 @@ def t14(spark: SparkSession, sf: str) -> DataFrame:
     steps.custom_step("com.example.ToCents", lambda df: df.withColumn("value", to_cents("value")))
     df = steps.apply_steps(table(spark, sf, "events"), [{"class": "com.example.ToCents"}])
     return df.select("event_id", "value")
+
+
+def _two_sides(spark: SparkSession, sf: str) -> DataFrame:
+    """``orders`` with a struct on either side of the record."""
+    return table(spark, sf, "orders").select(
+        "o_orderkey", F.struct(F.col("o_custkey").alias("id"), F.col("o_orderstatus").alias("state")).alias("key"),
+        F.struct(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("level")).alias("value"),
+        F.concat(F.lit("srv."), "o_orderstatus").alias("topic"), F.col("o_custkey").alias("offset"),
+        F.col("o_orderkey").cast("string").alias("number"))
+
+
+@query("t9_extract_key", "SELECT o_orderkey, o_custkey AS key, o_orderpriority AS value FROM orders")
+def t9_sides(spark: SparkSession, sf: str) -> DataFrame:
+    chain = [{"class": "kafka.ExtractField$Key", "settings": {"field": "id"}},
+             {"class": "kafka.ExtractField$Value", "settings": {"field": "level"}}]
+    return steps.apply_steps(_two_sides(spark, sf), chain).select("o_orderkey", "key", "value")
+
+
+@query("t10_flatten_value", """
+    SELECT o_orderkey AS value_id, o_orderpriority AS value_level, {'id': o_custkey, 'state': o_orderstatus} AS key FROM orders
+""")
+def t10_sides(spark: SparkSession, sf: str) -> DataFrame:
+    chain = [{"class": "kafka.Flatten$Value", "settings": {"delimiter": "_"}}]
+    return steps.apply_steps(_two_sides(spark, sf), chain).select("value_id", "value_level", "key")
+
+
+@query("t3_insert_several", """
+    SELECT o_orderkey, 'srv.' || o_orderstatus AS origin, o_custkey AS place, 'eu' AS region FROM orders
+""")
+def t3_several(spark: SparkSession, sf: str) -> DataFrame:
+    settings = {"topic.field": "origin", "offset.field": "place", "static.field": "region", "static.value": "eu"}
+    df = steps.apply_steps(_two_sides(spark, sf), [{"class": "kafka.InsertField$Value", "settings": settings}])
+    return df.select("o_orderkey", "origin", "place", "region")
+
+
+@query("t8_cast_public_types", """
+    SELECT o_orderkey, CAST(o_orderkey AS INTEGER) AS number, CAST(o_custkey AS DOUBLE) AS offset FROM orders
+""")
+def t8_public(spark: SparkSession, sf: str) -> DataFrame:
+    return steps.cast_fields(_two_sides(spark, sf), "number:int32,offset:float64").select("o_orderkey", "number", "offset")
+
+
+@query("t2_time", "SELECT event_id, CAST(epoch_ms(ts) % 86400000 AS INTEGER) AS at FROM events")
+def t2_time(spark: SparkSession, sf: str) -> DataFrame:
+    return steps.convert_timestamp(table(spark, sf, "events"), "ts", "time", out="at").select("event_id", "at")

@@ -92,7 +92,7 @@ def w6(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("w7_assign_document_id", """
-    SELECT o_orderkey, substr(sha256(o_orderkey || '|' || o_orderstatus), 1, 24) AS _id,
+    SELECT o_orderkey, substr(sha256('{"f0":"' || o_orderkey || '","f1":"' || o_orderstatus || '"}'), 1, 24) AS _id,
            CAST(o_custkey AS VARCHAR) AS key_id, '{"state":"' || o_orderstatus || '"}' AS part_id
     FROM orders
 """)

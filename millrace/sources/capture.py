@@ -81,12 +81,12 @@ def subscribe(df: DataFrame, topics: str | Sequence[str] | None = None, pattern:
 
 
 def start_position(df: DataFrame, policy: str, offset: str, stored: object = None) -> DataFrame:
-    """``earliest`` reads everything, ``latest`` only what lies beyond the stored offset."""
-    if policy == "earliest" or stored is None:
+    """``earliest`` reads everything, ``latest`` only what lies beyond the stored offset, or beyond all that is there."""
+    if policy not in ("earliest", "latest"):
+        raise ValueError(f"unknown start position {policy!r}")
+    if policy == "earliest":
         return df
-    if policy == "latest":
-        return df.where(F.col(offset) > F.lit(stored))
-    raise ValueError(f"unknown start position {policy!r}")
+    return df.where(F.lit(False) if stored is None else F.col(offset) > F.lit(stored))
 
 
 # --- S3 ----------------------------------------------------------------------------------------------------

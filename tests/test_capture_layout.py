@@ -133,3 +133,21 @@ def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
     finally:
         for name in ("left_rows", "right_rows"):
             spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_position_policies(spark):
+    df = spark.range(5)
+    assert capture.start_position(df, "latest", "id").count() == 0
+    with pytest.raises(ValueError, match="unknown start position"):
+        capture.start_position(df, "bogus", "id")
+
+
+def test_path_format_quotings():
+    want = [("year", "yyyy"), ("month", "MM")]
+    for text in ("'year='YYYY/'month='MM", "'year'=YYYY/'month'=MM", "year=YYYY/month=MM"):
+        assert layout.path_segments(text) == want
+
+
+def test_avro_is_refused():
+    with pytest.raises(ValueError, match="not available"):
+        layout.choose_format("io.example.AvroFormat")

@@ -107,3 +107,22 @@ def test_logical_table_keeps_keys_apart(spark):
     df = spark.createDataFrame([("t_1", (5,)), ("t_2", (5,)), ("other", (5,))], "topic string, key struct<id:int>")
     got = steps.route_logical_table(df, r"(t)_\d", "$1_all")
     assert rows(got.select("topic", "key.shard", "key.id")) == [("other", None, 5), ("t_all", "t_1", 5), ("t_all", "t_2", 5)]
+
+
+def test_sides_and_several_fields(spark):
+    df = spark.createDataFrame([((7, 1), (8, 2), "t", "3", 5)], "key struct<id:int,n:int>, value struct<id:int,n:int>, topic string, "
+                               "x string, offset long")
+    k = steps.apply_steps(df, [{"class": "a.ExtractField$Key", "settings": {"field": "id"}}]).first()
+    assert k["key"] == 7 and k["value"]["id"] == 8
+    v = steps.apply_steps(df, [{"class": "a.ExtractField$Value", "settings": {"field": "id"}}]).first()
+    assert v["value"] == 8 and v["key"]["id"] == 7
+    flat = steps.apply_steps(df, [{"class": "a.Flatten$Value", "settings": {"delimiter": "_"}}])
+    assert "key" in flat.columns and "value_id" in flat.columns
+    flat = steps.apply_steps(df, [{"class": "a.Flatten$Key", "settings": {"delimiter": "_"}}])
+    assert "key_id" in flat.columns and "value" in flat.columns
+    both = {"topic.field": "t", "offset.field": "o", "static.field": "s", "static.value": "c"}
+    row = steps.apply_steps(df, [{"class": "a.InsertField$Value", "settings": both}]).first()
+    assert (row["t"], row["o"], row["s"]) == ("t", 5, "c")
+    assert dict(steps.cast_fields(df, "x:int32,offset:float64").dtypes)["x"] == "int"
+    moment = spark.createDataFrame([("2024-01-01 01:00:01",)], "at string")
+    assert steps.convert_timestamp(moment, "at", "time").first()["at"] == 3_601_000

@@ -110,3 +110,17 @@ def test_evolve_schema(spark, target):
     assert new.columns == incoming.columns == ["id", "s", "d", "extra"]
     created, _ = writes.evolve_schema(None, wider, auto_create=True)
     assert created.count() == 0 and created.columns == ["id", "extra"]
+
+
+def test_ids_of_neighbouring_fields_differ(spark):
+    df = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), (None, "x"), ("", "x")], "p string, q string")
+    assert writes.assign_document_id(df, fields=["p", "q"]).select("_id").distinct().count() == 4
+
+
+def test_small_upsert_leaves_the_target_in_place(spark):
+    target = spark.range(1000).withColumn("v", F.lit("old"))
+    batch = spark.createDataFrame([(5, "new"), (2000, "new"), (None, "new")], "id long, v string")
+    got = writes.write_upsert(target, batch, ["id"])
+    assert got.where("v = 'new'").count() == 3 and got.count() == 1002
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
