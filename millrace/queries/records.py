@@ -183,11 +183,12 @@ def t9_sides(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("t10_flatten_value", """
-    SELECT o_orderkey AS value_id, o_orderpriority AS value_level, {'id': o_custkey, 'state': o_orderstatus} AS key FROM orders
+    SELECT o_orderkey AS value_id, o_orderpriority AS value_level, o_custkey AS id, o_orderstatus AS state FROM orders
 """)
 def t10_sides(spark: SparkSession, sf: str) -> DataFrame:
     chain = [{"class": "kafka.Flatten$Value", "settings": {"delimiter": "_"}}]
-    return steps.apply_steps(_two_sides(spark, sf), chain).select("value_id", "value_level", "key")
+    return steps.apply_steps(_two_sides(spark, sf), chain).select(
+        "value_id", "value_level", "key.id", "key.state")
 
 
 @query("t3_insert_several", """
@@ -206,6 +207,6 @@ def t8_public(spark: SparkSession, sf: str) -> DataFrame:
     return steps.cast_fields(_two_sides(spark, sf), "number:int32,offset:float64").select("o_orderkey", "number", "offset")
 
 
-@query("t2_time", "SELECT event_id, CAST(epoch_ms(ts) % 86400000 AS INTEGER) AS at FROM events")
+@query("t2_time", "SELECT event_id, CAST(epoch_us(ts) // 1000 % 86400000 AS INTEGER) AS at FROM events")
 def t2_time(spark: SparkSession, sf: str) -> DataFrame:
     return steps.convert_timestamp(table(spark, sf, "events"), "ts", "time", out="at").select("event_id", "at")

@@ -117,9 +117,10 @@ def test_ids_of_neighbouring_fields_differ(spark):
     assert writes.assign_document_id(df, fields=["p", "q"]).select("_id").distinct().count() == 4
 
 
-def test_small_upsert_leaves_the_target_in_place(spark):
+def test_small_upsert_leaves_the_target_in_place(spark, tmp_path):
     target = spark.range(1000).withColumn("v", F.lit("old"))
-    batch = spark.createDataFrame([(5, "new"), (2000, "new"), (None, "new")], "id long, v string")
+    spark.createDataFrame([(5, "new"), (2000, "new"), (None, "new")], "id long, v string").write.parquet(f"{tmp_path}/batch")
+    batch = spark.read.parquet(f"{tmp_path}/batch")
     got = writes.write_upsert(target, batch, ["id"])
     assert got.where("v = 'new'").count() == 3 and got.count() == 1002
     plan = got._jdf.queryExecution().executedPlan().toString()
