@@ -27,9 +27,10 @@ from millrace.llm.text import LETTERS, flat, words
 
 #: Labelled rows that are learned from, at most about: picked by a hash of doc_id. A quarter calibrates, the rest trains.
 TRAIN_ROWS = 20_000
-#: Learned words, at most, in how many toxic texts one must be (a tenth of them if that is more), and how much likelier there.
+#: Learned words, at most, in how many toxic texts one must be (a hundredth of them if that is more), and how much likelier there.
+#: Insults of the other languages are rare words, so the share is small.
 LEARNED_WORDS = 1024
-LEAST_TEXTS = 10
+LEAST_TEXTS = 5
 LIKELIER = 8.0
 NEAR = 6
 TREES, DEPTH = 20, 3
@@ -128,7 +129,7 @@ def learned_words(texts: DataFrame) -> np.ndarray:
     counts = texts.mapInArrow(_word_labels, "word long, toxic long, other long").groupBy("word").agg(
         F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
     rate = (F.col("toxic") / max(1, totals.t)) / ((F.col("other") + 1) / max(1, totals.n - totals.t))
-    least = max(LEAST_TEXTS, totals.t // 10)
+    least = max(LEAST_TEXTS, totals.t // 100)
     kept = counts.where((F.col("toxic") >= least) & (rate >= LIKELIER)).orderBy(F.desc("toxic"), "word").limit(LEARNED_WORDS)
     return np.sort(np.array([r.word for r in kept.collect()], np.int64).view(np.uint64))
 
@@ -166,8 +167,7 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     if fit.select("toxic").distinct().count() < 2 or check.select("toxic").distinct().count() < 2:
         fit = check = train
     fit = fit.coalesce(4)  # at most 2 * TRAIN_ROWS rows of a dozen numbers
-    trees = GBTClassifier(featuresCol="vector", labelCol="toxic", maxIter=TREES, maxDepth=DEPTH, maxBins=32, minInstancesPerNode=10,
-                          seed=7)
+    trees = GBTClassifier(featuresCol="vector", labelCol="toxic", maxIter=TREES, maxDepth=DEPTH, maxBins=32, seed=7)
     model = trees.fit(assemble.transform(fit))
     raw = vector_to_array("probability")[1]
     calibration = IsotonicRegression(featuresCol="raw", labelCol="toxic", isotonic=True).fit(
