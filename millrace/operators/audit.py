@@ -8,11 +8,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions import values
-from millrace.operators import skew
+from millrace.operators import catalog, skew
 from millrace.sources import documents
 
 SEVERITIES = ("error", "warning", "info")
-INLINE_STEPS = 1000
 ISSUE = "struct<severity:string,field:string,message:string,suggestion:string,auto_fixable:boolean>"
 
 
@@ -114,23 +113,19 @@ def step_issues(classified: DataFrame) -> DataFrame:
 
 
 def with_issues(matched: DataFrame, step_catalog: DataFrame, settings: str = "settings") -> DataFrame:
-    """A10-A13 in one pass: add ``steps`` (with status) and ``issues`` to every matched record.
+    """Add ``steps`` (with status) and ``issues`` to every matched record.
 
-    The step catalog travels as one map, so it may hold at most ``INLINE_STEPS`` classes; ``classify_steps`` and
-    ``step_issues`` give the same rows by a join for a catalog of any size.
+    Steps meet a step catalog of any size in a join on their class and are gathered by ``record_id``, which must be unique.
+    Only steps are shuffled for that; the other checks are row-local.
     """
-    table = {r["class"]: r["status"] for r in step_catalog.limit(INLINE_STEPS + 1).collect()}
-    if len(table) > INLINE_STEPS:
-        raise ValueError("step catalog too long to travel with each row; use classify_steps and step_issues")
-    statuses = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
-
-    def classified(step: Column) -> Column:
-        plain = F.split_part(step["class"], F.lit("$"), F.lit(1))
-        return step.withField("status", F.coalesce(F.element_at(statuses, plain), F.lit("manual")))
-
-    steps = F.transform(documents.steps_of(F.col(settings)), classified)
+    listed = matched.select("record_id", F.explode(documents.steps_of(F.col(settings))).alias("_step"))
+    own = [f.name for f in listed.schema["_step"].dataType.fields]
+    classified = catalog.classify_steps(listed.select("record_id", "_step.*"), step_catalog)
+    gathered = classified.groupBy("record_id").agg(F.array_sort(
+        F.collect_list(F.struct(*own, "status")), lambda x, y: x["pos"] - y["pos"]).alias("steps"))
+    none = F.array().cast(gathered.schema["steps"].dataType)
     found = F.transform("steps", lambda s: _step_issues(s["step"], s["class"], s["status"]))
-    return matched.withColumn("steps", steps).withColumn(
+    return matched.join(gathered, "record_id", "left").withColumn("steps", F.coalesce("steps", none)).withColumn(
         "issues", F.concat(unknown_class(), missing_required(settings), forbidden_values(settings),
                            F.array_compact(found)))
 

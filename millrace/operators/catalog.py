@@ -126,9 +126,13 @@ def default_unmatched(matched: DataFrame) -> DataFrame:
 # --- A12 ---------------------------------------------------------------------------------------------------
 
 def classify_steps(steps: DataFrame, step_catalog: DataFrame) -> DataFrame:
-    """Add ``status`` (manual when unknown) and ``equivalent``; a ``$Key`` or ``$Value`` suffix is ignored."""
+    """Add ``status`` (manual when unknown) and ``equivalent``; a ``$Key`` or ``$Value`` suffix is ignored.
+
+    Of several rows of a class the one with the alphabetically first status counts, which is the least supported.
+    """
     looked_up = steps.withColumn("_class", F.split_part("class", F.lit("$"), F.lit(1)))
-    table = step_catalog.withColumnRenamed("class", "_class")
+    best = F.min(F.struct("status", "equivalent")).alias("_best")
+    table = step_catalog.groupBy(F.col("class").alias("_class")).agg(best).select("_class", "_best.*")
     joined = skew.lookup(looked_up, table, ["_class"], "left").drop("_class")
     return joined.withColumn("status", F.coalesce("status", F.lit("manual")))
 

@@ -62,7 +62,8 @@ def nack_breaches(df: DataFrame, keys: Sequence[str], order: Sequence[str], bad:
 
     Off (no rows) when either number is 0 or absent. ``order`` must identify a record within its key. The count is a
     difference of two running sums, so its cost does not grow with ``size``. Keys with more than ``hot_rows`` records
-    are numbered across tasks and windowed in overlapping blocks; the rest use one window per key.
+    get theirs across tasks and meet the sum of ``size`` records before by a join on the place; the rest use one window
+    per key.
     """
     narrow = df.select(*keys, *order, F.coalesce(bad, F.lit(False)).cast("int").alias("_bad"))
     if not check_window(size, threshold):
@@ -84,11 +85,9 @@ def nack_breaches(df: DataFrame, keys: Sequence[str], order: Sequence[str], bad:
         return breaches(recent(narrow, keys, order))
 
     cold_rows, hot_part = skew.split_hot(narrow, keys, hot)
-    block = max(hot_rows, 2 * size)
-    numbered = skew.dense_index(hot_part, [*keys, *order])
-    # A record belongs to one block and is context for the next one when it is among the last ``size`` of its block.
-    own = F.floor(F.col("_index") / block)
-    blocks = F.when(F.col("_index") % block >= block - size, F.array(own, own + 1)).otherwise(F.array(own))
-    spread = numbered.withColumn("_own", own).withColumn("_block", F.explode(blocks))
-    windowed = recent(spread, [*keys, "_block"], ["_index"]).where(F.col("_own") == F.col("_block"))
-    return breaches(recent(cold_rows, keys, order)).unionByName(breaches(windowed))
+    summed = skew.running_totals(hot_part, keys, order, "_bad", "_sum")
+    past = summed.select((F.col("_index") + size).alias("_later"), F.col("_sum").alias("_past"),
+                         *[F.col(k).alias(f"_k_{k}") for k in keys])
+    spread = summed.join(past, (F.col("_index") == F.col("_later")) & skew.same_keys(summed, past, keys), "left")
+    spread = spread.withColumn("failures", F.col("_sum") - F.coalesce("_past", F.lit(0)))
+    return breaches(recent(cold_rows, keys, order)).unionByName(breaches(spread))

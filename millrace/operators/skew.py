@@ -15,8 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T, Window as
 from millrace import session
 
 HOT_ROWS = 1_000_000       # a key with fewer rows than this fits one task
-MAX_HOT_KEYS = 10_000      # a hot key also holds more than 1/MAX_HOT_KEYS of the table
-SMALL_ROWS = 50_000        # largest lookup table that is broadcast, in rows
+SMALL_ROWS = 50_000        # largest list of hot keys that is broadcast, in rows
 SMALL_CHARS = 64 << 20     # and as JSON text
 SALTS = 64
 
@@ -27,23 +26,25 @@ def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """Keys holding more than ``hot_rows`` rows and more than 1/MAX_HOT_KEYS of all rows; None when there are none.
+    """Keys holding more than ``hot_rows`` rows, whatever the size of the table; None when there are none.
 
     One pass over the key columns, run at once. The counts are partial before the shuffle, so a hot key costs one row
-    per map task. Fewer than MAX_HOT_KEYS keys can satisfy the second condition, so the driver may hold the list and
-    every task may get a copy; with no hot key the caller's plan stays as simple as if skew did not exist.
+    per map task. The list is checkpointed, and broadcast only where a bounded count shows it to be small; a longer one is
+    joined by a shuffle, whose skewed partitions AQE splits. With no hot key the caller's plan stays as simple as if skew
+    did not exist.
     """
+    session.shared_folder(df.sparkSession)
     counts = df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    hot = counts.where((F.col("_n") > hot_rows) & (F.col("_n") > total / MAX_HOT_KEYS)).drop("_n")
-    found = hot.collect()
-    return df.sparkSession.createDataFrame(found, hot.schema) if found else None
+    hot = counts.where(F.col("_n") > hot_rows).drop("_n").checkpoint()
+    if hot.isEmpty():
+        return None
+    return F.broadcast(hot) if is_small(hot) else hot
 
 
 def split_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows of other keys, rows of hot keys), both by a broadcast join with the bounded key list."""
+    """(rows of other keys, rows of hot keys)."""
     on = same_keys(df, hot, keys)
-    return df.join(F.broadcast(hot), on, "left_anti"), df.join(F.broadcast(hot), on, "left_semi")
+    return df.join(hot, on, "left_anti"), df.join(hot, on, "left_semi")
 
 
 def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner",
@@ -57,7 +58,7 @@ def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str =
     hot = hot_keys(big, on, hot_rows)
     if hot is None:
         return big.join(small, list(on), how)
-    flag = F.broadcast(hot.withColumn("_hot", F.lit(True)))
+    flag = hot.withColumn("_hot", F.lit(True))
 
     def marked(df: DataFrame) -> DataFrame:
         return df.join(flag, same_keys(df, flag, on), "left").drop(*[f"_k_{k}" for k in on])
@@ -71,21 +72,26 @@ def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str =
 
 
 def is_small(table: DataFrame) -> bool:
-    """Whether a lookup table stays within the row and text limits, by a count that stops at the row limit."""
+    """Whether a table stays within the row and text limits, by a count that stops at the row limit."""
     text = F.length(F.to_json(F.struct(*table.columns)))
     rows, chars = table.limit(SMALL_ROWS + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(text), F.lit(0))).first()
     return rows <= SMALL_ROWS and chars <= SMALL_CHARS
 
 
-def lookup(big: DataFrame, table: DataFrame, on: Sequence[str], how: str = "left",
-           hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Join with a reference table: broadcast when a bounded check proves it small, else salted."""
-    if is_small(table):
-        return big.join(F.broadcast(table), list(on), how)
-    return salted_join(big, table, on, how, hot_rows)
+def lookup(big: DataFrame, table: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+    """Join with a reference table, the same lazy plan for every size, so it also holds on a stream.
+
+    Statistics and AQE broadcast a small table; where both sides are shuffled, AQE splits the partitions of hot keys.
+    """
+    return big.join(table, list(on), how)
 
 
 def dense_index(df: DataFrame, order: Sequence[str], name: str = "_index") -> DataFrame:
+    """``numbered`` without the partition."""
+    return numbered(df, order, name).drop("_part")
+
+
+def numbered(df: DataFrame, order: Sequence[str], name: str = "_index") -> DataFrame:
     """Number all rows 0, 1, 2, ... in the order of ``order`` without sorting in one task.
 
     Rows are range partitioned and sorted, so equal leading values still spread over tasks. The sorted rows are
@@ -107,7 +113,28 @@ def dense_index(df: DataFrame, order: Sequence[str], name: str = "_index") -> Da
     return (
         placed.join(F.broadcast(starts), "_part")
         .withColumn(name, F.col("_start") + F.col("_place"))
-        .drop("_part", "_place", "_start")
+        .drop("_place", "_start")
+    )
+
+
+def running_totals(df: DataFrame, groups: Sequence[str], order: Sequence[str], value: str, name: str = "_total",
+                   index: str = "_index") -> DataFrame:
+    """Add ``index`` (the place among all rows, by group and order) and the running sum of ``value`` within the group.
+
+    A group may span many range partitions: each task adds up its own part of it, and the sums of the parts before, one
+    row per partition and group, are added. No task holds more of a group than a range partition does.
+    """
+    placed = numbered(df, [*groups, *order], index)
+    part = W.partitionBy("_part", *groups).orderBy(index).rowsBetween(W.unboundedPreceding, W.currentRow)
+    before = W.partitionBy(*groups).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    starts = placed.groupBy("_part", *groups).agg(F.sum(value).alias("_sum")).select(
+        F.col("_part").alias("_from"), *[F.col(g).alias(f"_k_{g}") for g in groups],
+        F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start"))
+    summed = placed.withColumn(name, F.sum(value).over(part))
+    return (
+        summed.join(starts, (F.col("_part") == F.col("_from")) & same_keys(summed, starts, groups))
+        .withColumn(name, F.col(name) + F.col("_start"))
+        .drop("_part", "_from", "_start", *[f"_k_{g}" for g in groups])
     )
 
 

@@ -117,6 +117,18 @@ def test_status_and_issues(spark, matched):
     assert issues == {("warning", "copy.existing"), ("error", "s3.bucket.name")}
 
 
+def test_a_long_step_catalog_with_repeated_classes(spark, matched):
+    own = catalog.load_step_catalog(spark)
+    many = own.unionByName(spark.range(5000).select(
+        F.concat(F.lit("com.example.Step"), "id").alias("class"), F.lit("x").alias("equivalent"), F.lit("partial").alias("status")))
+    short, long = (by_name(audit.with_issues(matched, c), "steps", "issues") for c in (own, many.unionByName(own)))
+    assert short == long
+    assert all([s["pos"] for s in steps] == sorted(s["pos"] for s in steps) for steps, _ in long.values())
+    worse = own.select("class", "equivalent", F.lit("manual").alias("status"))
+    found = by_name(audit.with_issues(matched, own.unionByName(worse)), "steps")
+    assert {s["status"] for (steps,) in found.values() for s in steps} == {"manual"}  # the least supported counts
+
+
 def test_worker(parsed):
     row = documents.worker_heads(documents.first_worker(parsed[0].where("worker"))).first()
     assert (row["brokers"], row["registry_url"], row["security_protocol"]) == ("localhost:9092", "http://localhost:8081", "SSL")

@@ -61,7 +61,7 @@ def brute_breaches(data, size, threshold):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("size,threshold,hot", [(1, 1, 50), (5, 3, 50), (10, 4, 100), (30, 12, 40), (10, 10, 10**6)])
+@pytest.mark.parametrize("size,threshold,hot", [(1, 1, 50), (5, 3, 50), (10, 4, 100), (30, 12, 40), (200, 70, 50), (10, 10, 10**6)])
 def test_nack_breaches_equals_brute_force(spark, size, threshold, hot):
     picked = random.Random(size)
     data = [(0 if picked.random() < 0.5 else None if picked.random() < 0.1 else picked.randrange(1, 30), ts,
@@ -107,13 +107,35 @@ def test_cluster_layout_cuts_a_hot_partition(spark):
     assert len(parts) > 1 and max(r["count"] for r in parts) < 0.45 * 8000
 
 
-def test_lookup_beyond_the_limits(spark, monkeypatch):
-    big, table = skewed(spark), spark.createDataFrame([(k, "v" * 10) for k in range(100)], "k bigint, v string")
-    expected = rows(big.join(table, "k", "left"))
-    assert skew.is_small(table)
-    assert rows(skew.lookup(big, table, ["k"])) == expected
+def test_hot_key_among_many(spark):
+    big = spark.range(50_000).select("id", F.when(F.col("id") < 1000, -1).otherwise(F.col("id")).alias("k"))  # 2 % of the rows
+    assert [r[0] for r in skew.hot_keys(big, ["k"], 500).collect()] == [-1]
+
+
+def test_a_long_list_of_hot_keys_is_not_broadcast(spark, monkeypatch):
+    big = skewed(spark)
+    small = spark.createDataFrame([(k, "v" * 10) for k in range(100)], "k bigint, v string")
+    expected = rows(big.join(small, "k", "left"))
+    monkeypatch.setattr(skew, "SMALL_ROWS", 20)
+    assert not skew.is_small(small) and skew.hot_keys(big, ["k"], 3).count() > 20
+    assert rows(skew.salted_join(big, small, ["k"], "left", hot_rows=3).select("k", "id", "v")) == expected
+    monkeypatch.setattr(skew, "SMALL_ROWS", 1000)
     monkeypatch.setattr(skew, "SMALL_CHARS", 100)
-    assert not skew.is_small(table)
-    assert rows(skew.lookup(big, table, ["k"], hot_rows=100).select("k", "id", "v")) == expected
-    monkeypatch.setattr(skew, "SMALL_ROWS", 50)
-    assert not skew.is_small(table)
+    assert not skew.is_small(small)
+
+
+def test_running_totals(spark):
+    data = [(None if i % 11 == 0 else i % 3 and 1, i, i * 7 % 5) for i in range(1000)]
+    got = skew.running_totals(spark.createDataFrame(data, "k int, t int, v int").repartition(6), ["k"], ["t"], "v")
+    sums, expected = {}, []
+    for k, t, v in data:
+        sums[k] = sums.get(k, 0) + v
+        expected.append((k, t, v, sums[k]))
+    assert rows(got.select("k", "t", "v", "_total")) == sorted(expected, key=repr)
+    assert sorted(r[0] for r in got.select("_index").collect()) == list(range(1000))
+
+
+@pytest.mark.parametrize("n", [100, 60_000])
+def test_lookup(spark, n):
+    big, table = skewed(spark), spark.createDataFrame([(k, "v" * 10) for k in range(n)], "k bigint, v string")
+    assert rows(skew.lookup(big, table, ["k"])) == rows(big.join(table, "k", "left"))
