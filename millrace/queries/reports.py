@@ -181,13 +181,20 @@ def a24_messages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("a25_recommend", f"""
-    SELECT unnest([0, 1, 2]) AS pos, unnest(['High failure rate. Review definitions and their compatibility.',
-        'Review masked credentials before deployment.',
-        (SELECT count(*) FILTER (status = 'success' AND manual) FROM ({OUTCOMES_SQL}))
-            || ' records need manual configuration.']) AS recommendation
+    WITH flags AS (
+        SELECT count(*) FILTER (status = 'failed') / count(*) AS failed_share, count(*) FILTER (status = 'success') AS successful,
+               count(*) FILTER (status = 'success' AND manual) AS manual FROM ({OUTCOMES_SQL})),
+    advice AS (
+        SELECT 0 AS place, 'High failure rate. Review definitions and their compatibility.' AS recommendation
+        FROM flags WHERE failed_share > 0.2
+        UNION ALL SELECT 1, 'Review masked credentials before deployment.' FROM flags WHERE successful > 0
+        UNION ALL SELECT 2, manual || ' records need manual configuration.' FROM flags WHERE manual > 0
+        UNION ALL SELECT 3, 'Test in a development environment before production.' FROM flags WHERE successful > 0
+        UNION ALL SELECT 4, 'Configure the schema registry again if one is used.')
+    SELECT (row_number() OVER (ORDER BY place) - 1)::INT AS pos, recommendation FROM advice
 """)
 def a25(spark: SparkSession, sf: str) -> DataFrame:
-    return rollups.recommend(outcomes(spark, sf), k=3)
+    return rollups.recommend(outcomes(spark, sf))
 
 
 def stage_rows(spark: SparkSession, sf: str) -> DataFrame:

@@ -55,15 +55,18 @@ def a22(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("a26_mask_secrets", f"""
     SELECT record_id, CASE WHEN connection_password LIKE '${{%}}' THEN connection_password
-                           ELSE '${{MASKED_CONNECTION.PASSWORD}}' END AS value, database_hostname AS hostname
+                           ELSE '${{MASKED_CONNECTION.PASSWORD}}' END AS value, database_hostname AS hostname,
+           CASE WHEN registry_url IS NOT NULL THEN '${{MASKED_KEY.CONVERTER.SCHEMA.REGISTRY.URL}}' END AS registry,
+           1 + (registry_url IS NOT NULL)::INT AS n_references
     FROM ({DEFS_SQL})
 """)
 def a26(spark: SparkSession, sf: str) -> DataFrame:
     hidden = settings.mask_secrets(documents.entries(definitions(spark, sf)))
-    wanted = hidden.where(F.col("key").isin("connection.password", "database.hostname"))
-    return wanted.groupBy("record_id").agg(
+    return hidden.groupBy("record_id").agg(
         F.max(F.when(F.col("key") == "connection.password", F.col("value"))).alias("value"),
-        F.max(F.when(F.col("key") == "database.hostname", F.col("value"))).alias("hostname"))
+        F.max(F.when(F.col("key") == "database.hostname", F.col("value"))).alias("hostname"),
+        F.max(F.when(F.col("key") == settings.KEY_URL, F.col("value"))).alias("registry"),
+        F.count_if(F.startswith("value", F.lit("${"))).alias("n_references"))
 
 
 @query("a27_find_sensitive_keys", f"""
