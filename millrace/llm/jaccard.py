@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.llm.components import components
@@ -33,6 +34,8 @@ MIN_HASHES = 4
 #: Bins of the count of all shingles. Only the order of shingles depends on them, never a result.
 BINS = 1 << 20
 PARTS = 16
+#: At most so many bits mark the tokens of open tiles: 32 MB.
+MOST_BITS = 28
 _salts = [np.uint64(0x9E3779B97F4A7C15 * (2 * k + 1) & (1 << 64) - 1) for k in range(MIN_HASHES)]
 
 
@@ -183,15 +186,62 @@ def prefix_size(n: Column) -> Column:
     return n - F.ceil(n * part / whole) + 1
 
 
+def _marker(bits: int):
+    width = (1 << bits) // PARTS
+
+    def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, np.ndarray] = {}
+        for batch in batches:
+            at = batch.column(0).to_numpy() & ((1 << bits) - 1)
+            for part in np.unique(at // width).tolist():
+                found.setdefault(part, np.zeros(width, np.bool_))[at[at // width == part] % width] = True
+        if found:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found, pa.int32()), pa.array([np.packbits(m, bitorder="little").tobytes() for m in found.values()], pa.binary())],
+                names=["part", "marks"])
+    return marks
+
+
+def token_marks(tokens: DataFrame) -> np.ndarray:
+    """A bitmap with the low bits of all ``tokens`` (token: long) set: eight to sixteen bits for each, ``2**MOST_BITS`` in all at most.
+
+    Every part of it is made in one task and sent once.
+    """
+    bits = min(MOST_BITS, max(16, (8 * tokens.count()).bit_length()))
+    part = F.col("token").bitwiseAND((1 << bits) - 1) / F.lit((1 << bits) // PARTS)
+    marks = np.zeros((PARTS, (1 << bits) // PARTS // 8), np.uint8)
+    for row in tokens.repartition(PARTS, F.floor(part)).mapInArrow(_marker(bits), "part int, marks binary").toLocalIterator():
+        marks[row.part] |= np.frombuffer(bytes(row.marks), np.uint8)
+    return marks.reshape(-1)
+
+
+def _marked_tokens(marks: np.ndarray):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for first in range(0, whole.num_rows, 256):
+                batch = whole.slice(first, 256)
+                lists = column(batch, "tokens")
+                tokens, owner = lists.flatten().to_numpy(), pc.list_parent_indices(lists).to_numpy()
+                at = tokens & (len(marks) * 8 - 1)
+                kept = (marks[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(np.bool_)
+                own = batch.select(["node", "component", "n"]).take(pa.array(owner[kept]))
+                yield pa.RecordBatch.from_arrays([*own.columns, pa.array(tokens[kept])], names=["node", "component", "n", "token"])
+    return rows
+
+
 def tile_pairs(prefixes: DataFrame) -> DataFrame:
     """The pairs of classes of different components that share tiles, fit in size and pass two bounds of their overlap.
 
-    Tiles hold ids and sizes only. A pair is counted in all its tiles: the shingles outside both prefixes that it can share are no more
+    Tiles hold ids and sizes only. Most prefix shingles are those of one component; a bitmap of the others, of a bounded size, drops them
+    before rows are shuffled into tiles, and a join then drops what it let through by chance. A pair is counted in all its tiles: the shingles outside both prefixes that it can share are no more
     than either rest is long. Signatures then go to the pairs that are left, not to every row of every tile.
     """
-    tokens = prefixes.select("node", "component", "n", F.explode("tokens").alias("token"))
-    open_tiles = tokens.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    tiles = saved(tokens.join(open_tiles.select("token"), "token"), "tiles")
+    every = prefixes.select("component", F.explode("tokens").alias("token"))
+    ends = every.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    open_tiles = saved(ends.where("low < high").select("token"), "open_tiles")
+    tokens = prefixes.select("node", "component", "n", "tokens").mapInArrow(
+        _marked_tokens(token_marks(open_tiles)), "node long, component long, n int, token long")
+    tiles = saved(tokens.join(open_tiles, "token", "left_semi"), "tiles")
     x, y = (tiles.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "component", "n")]) for s in "xy")
     n_x, n_y = F.col("n_x"), F.col("n_y")
     counted = x.join(y, "token").where(
