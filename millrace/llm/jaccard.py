@@ -181,11 +181,6 @@ def starred(classes: DataFrame) -> DataFrame:
     return near.groupBy("node").agg(F.min("least.node").alias("a")).select("a", F.col("node").alias("b"))
 
 
-def prefix_size(n: Column) -> Column:
-    part, whole = SIMILAR
-    return n - F.ceil(n * part / whole) + 1
-
-
 def _marker(bits: int):
     width = (1 << bits) // PARTS
 
@@ -222,37 +217,39 @@ def _marked_tokens(marks: np.ndarray):
                 batch = whole.slice(first, 256)
                 lists = column(batch, "tokens")
                 tokens, owner = lists.flatten().to_numpy(), pc.list_parent_indices(lists).to_numpy()
-                at = tokens & (len(marks) * 8 - 1)
-                kept = (marks[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(np.bool_)
+                place = np.arange(len(tokens)) - np.searchsorted(owner, owner)
+                bit = tokens & (len(marks) * 8 - 1)
+                kept = (marks[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(np.bool_)
                 own = batch.select(["node", "component", "n"]).take(pa.array(owner[kept]))
-                yield pa.RecordBatch.from_arrays([*own.columns, pa.array(tokens[kept])], names=["node", "component", "n", "token"])
+                yield pa.RecordBatch.from_arrays([*own.columns, pa.array(tokens[kept]), pa.array(place[kept], pa.int32())],
+                                                       names=["node", "component", "n", "token", "at"])
     return rows
 
 
 def tile_pairs(prefixes: DataFrame) -> DataFrame:
     """The pairs of classes of different components that share tiles, fit in size and pass two bounds of their overlap.
 
-    Tiles hold ids and sizes only. Most prefix shingles are those of one component; a bitmap of the others, of a bounded size, drops them
-    before rows are shuffled into tiles, and a join then drops what it let through by chance. A pair is counted in all its tiles: the shingles outside both prefixes that it can share are no more
-    than either rest is long. Signatures then go to the pairs that are left, not to every row of every tile.
+    Tiles hold ids, sizes and places only. Most prefix shingles are those of one component; a bitmap of the others, of a bounded size,
+    drops them before rows are shuffled into tiles, and a join then drops what it let through by chance. A similar pair is met in the
+    tile of its first common shingle, from whose place on both sets must be long enough for the overlap: so a tile of a common
+    passage, which comes late in most sets, pairs few of them. Signatures go to the pairs that are left, not to every row of every tile.
     """
     every = prefixes.select("component", F.explode("tokens").alias("token"))
     ends = every.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     open_tiles = saved(ends.where("low < high").select("token"), "open_tiles")
     tokens = prefixes.select("node", "component", "n", "tokens").mapInArrow(
-        _marked_tokens(token_marks(open_tiles)), "node long, component long, n int, token long")
+        _marked_tokens(token_marks(open_tiles)), "node long, component long, n int, token long, at int")
     tiles = saved(tokens.join(open_tiles, "token", "left_semi"), "tiles")
-    x, y = (tiles.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "component", "n")]) for s in "xy")
+    x, y = (tiles.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "component", "n", "at")]) for s in "xy")
     n_x, n_y = F.col("n_x"), F.col("n_y")
-    counted = x.join(y, "token").where(
-        (F.col("node_x") < F.col("node_y")) & (F.col("component_x") != F.col("component_y")) & fitting(n_x, n_y)
-    ).groupBy("node_x", "node_y", "n_x", "n_y").agg(F.count(F.lit(1)).alias("many"))
-    rest = F.greatest(n_x - prefix_size(n_x), n_y - prefix_size(n_y))
-    near = counted.where(F.col("many") + rest >= overlap_needed(n_x, n_y))
+    needed = overlap_needed(n_x, n_y)
+    near = x.join(y, "token").where(
+        (F.col("node_x") < F.col("node_y")) & (F.col("component_x") != F.col("component_y"))
+        & (n_x - F.col("at_x") >= needed) & (n_y - F.col("at_y") >= needed)).select("node_x", "node_y", "n_x", "n_y").distinct()
     x, y = (prefixes.select(*[F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "bits")]) for s in "xy")
     signed_pairs = near.join(x, ["node_x", "n_x"]).join(y, ["node_y", "n_y"])
     bound = overlap_bound(n_x, F.col("bits_x"), n_y, F.col("bits_y"))
-    return signed_pairs.where(bound >= overlap_needed(n_x, n_y)).select(
+    return signed_pairs.where(bound >= needed).select(
         F.col("node_x").alias("a"), F.col("node_y").alias("b")).distinct()
 
 
