@@ -74,6 +74,15 @@ def test_join(spark, rows):
     assert sorted(map(tuple, found), key=repr) == brute_components(rows)
 
 
+def test_join_with_a_full_bitmap(spark, monkeypatch):
+    """A bitmap that lets nearly every shingle through changes no result."""
+    monkeypatch.setattr(jaccard, "MOST_BITS", 8)
+    rows = edited(3)
+    df = spark.createDataFrame([(*r, *[None] * 7) for r in rows], DOCS)
+    found = jaccard.joined(df).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, found), key=repr) == brute_components(rows)
+
+
 def test_join_of_nothing(none):
     assert jaccard.joined(none).count() == 0
 
