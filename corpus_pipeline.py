@@ -22,9 +22,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that hold no benchmark item."""
-    found = decontaminate.contaminated(docs, queries.table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(docs.columns)
+    """The documents that hold no benchmark item. Rows without an id are told apart by a hash of their texts."""
+    benchmark = queries.table(spark, sf_dir, "benchmark")
+    named, unnamed = docs.where("doc_id is not null"), docs.where("doc_id is null").withColumn("_id", F.xxhash64("text"))
+    found = decontaminate.contaminated(named, benchmark).select("doc_id").distinct()
+    held = decontaminate.contaminated(unnamed.select(F.col("_id").alias("doc_id"), "text"), benchmark)
+    clean = unnamed.join(held.select(F.col("doc_id").alias("_id")).distinct(), "_id", "left_anti")
+    return named.join(found, "doc_id", "left_anti").select(docs.columns).unionByName(clean.select(docs.columns))
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
