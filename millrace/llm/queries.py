@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import chat, decontaminate, jaccard, knn, language, mixing, passages, quality, tokens, toxicity
+from millrace.llm import chat, decontaminate, jaccard, knn, language, mixing, passages, quality, tokens, toxicity, trie
 from millrace.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,6 +92,13 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lent = (F.crc32(F.col("conv_id").cast("string")) % 6).cast("int")
+    nodes = trie.prefix_trie(trie.rebuilt(trie.turn_digests(table(spark, sf_dir, "conversations")), 100, lent, 5))
+    return nodes.drop("key", "parent_key")
+
+
 SQL["op8_source_mixing"] = f"""
     WITH sizes AS (
         SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
@@ -150,3 +157,44 @@ SQL["op8_source_mixing"] = f"""
            (CASE WHEN votes > 0 THEN take // votes * size + greatest(0, least(size, take % votes - begin)) ELSE 0 END)::BIGINT AS taken
     FROM line
 """
+
+SQL["op11_prefix_trie"] = f"""
+    WITH turns AS (
+        SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+               row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+        FROM conversations WHERE conv_id IS NOT NULL),
+    -- CRC-32 of the decimal id, bit by bit.
+    convs AS (
+        SELECT conv_id, conv_id - ((conv_id % 100) + 100) % 100 AS head,
+               xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+                   lambda x, y: list_reduce([xor(x, y), 0, 0, 0, 0, 0, 0, 0, 0],
+                                         lambda u, v: xor(u >> 1, 3988292384 * (u & 1))))) % 6 AS lent
+        FROM (SELECT DISTINCT conv_id FROM turns)),
+    joined AS (
+        SELECT c.conv_id, 0 AS kind, place, role, text FROM convs c JOIN turns t ON t.conv_id = c.head AND t.place <= c.lent
+        UNION ALL
+        SELECT c.conv_id, 1, place, role, text FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.place > c.lent),
+    numbered AS (
+        SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY kind, place) AS depth FROM joined),
+    rows_ AS (
+        SELECT conv_id, depth, len(text) AS chars,
+               list(length(role) || ':' || role || text) OVER (PARTITION BY conv_id ORDER BY depth ROWS UNBOUNDED PRECEDING) AS path
+        FROM numbered
+        UNION ALL SELECT conv_id, 0, 0, []::VARCHAR[] FROM convs),
+    lengths AS (SELECT conv_id, max(depth) AS n FROM rows_ GROUP BY conv_id),
+    nodes AS (
+        SELECT path, r.depth, min(conv_id) AS first, count(*) AS n_convs, any_value(chars) AS chars,
+               sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = r.depth), '')) AS ends,
+               count(*) FILTER (n = r.depth) AS n_ends
+        FROM rows_ r JOIN lengths USING (conv_id) GROUP BY path, r.depth),
+    tree AS (
+        SELECT c.*, p.first AS parent FROM nodes c LEFT JOIN nodes p ON p.path = c.path[:-2] AND p.depth = c.depth - 1),
+    children AS (SELECT path[:-2] AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+    subtrees AS (
+        SELECT a.path, count(*) FILTER (d.n_convs = d.n_ends) AS n_leaves, sum((d.n_convs - 1) * d.chars) AS saved
+        FROM (SELECT DISTINCT r.path AS path, s.path AS below FROM rows_ r JOIN rows_ s ON r.conv_id = s.conv_id AND r.depth <= s.depth) a
+        JOIN nodes d ON d.path = a.below GROUP BY a.path)
+    SELECT first AS conv_id, depth, parent AS parent_conv_id, n_convs, coalesce(n_children, 0)::BIGINT AS n_children, n_leaves,
+           saved::BIGINT AS saved_tokens, ends AS ends_sha256
+    FROM tree LEFT JOIN children USING (path) JOIN subtrees USING (path)
+"""
