@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import chat, decontaminate, jaccard, knn, language, mixing, passages, quality, simhash, tokens, toxicity, trie
+from millrace.llm import chat, decontaminate, jaccard, knn, language, mixing, passages, phrases, quality, simhash, tokens, toxicity, trie
 from millrace.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,6 +104,11 @@ def op12_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents")).drop("k")
+
+
 SQL["op8_source_mixing"] = f"""
     WITH sizes AS (
         SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
@@ -203,3 +208,36 @@ SQL["op11_prefix_trie"] = f"""
            saved::BIGINT AS saved_tokens, ends AS ends_sha256
     FROM tree LEFT JOIN children USING (path) JOIN subtrees USING (path)
 """
+
+SQL["op13_phrase_collocations"] = r"""
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang,
+               unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents),
+    tokens AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+    sized AS (SELECT lang, w, unnest([1, 2, 3, 4]) AS n FROM tokens),
+    grams AS (
+        SELECT lang, n, array_to_string(w[i:i + n - 1], ' ') AS phrase
+        FROM (SELECT lang, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM sized)),
+    counts AS (SELECT lang, n, phrase, count(*) AS a FROM grams GROUP BY ALL),
+    sizes AS (SELECT lang, sum(a)::BIGINT AS n FROM counts WHERE n = 1 GROUP BY lang),
+    candidates AS (SELECT *, string_split(phrase, ' ') AS w FROM counts WHERE n > 1 AND a >= 30),
+    inner_ AS (
+        SELECT lang, a, array_to_string(w[i:i + m - 1], ' ') AS phrase
+        FROM (SELECT *, unnest(range(1, n - m + 2)) AS i FROM (SELECT *, unnest(range(2, n)) AS m FROM candidates))),
+    kept AS (
+        SELECT c.* FROM candidates c LEFT JOIN (SELECT lang, phrase, max(a) AS longer FROM inner_ GROUP BY ALL) USING (lang, phrase)
+        WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a),
+    cuts AS (
+        SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS first, array_to_string(w[k + 1:], ' ') AS rest
+        FROM (SELECT *, unnest(range(1, n)) AS k FROM kept)),
+    scored AS (
+        SELECT c.*, x.a AS l, y.a AS r, ((2000000::HUGEINT * c.a) // (x.a::HUGEINT + y.a))::BIGINT AS score
+        FROM cuts c JOIN counts x ON x.lang = c.lang AND x.phrase = c.first JOIN counts y ON y.lang = c.lang AND y.phrase = c.rest),
+    lowest AS (
+        SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+    ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest)
+    SELECT t.lang, rank, phrase, a, l, r, s.n AS n, score FROM ranked t JOIN sizes s ON s.lang = t.lang WHERE rank <= 2000
+"""
