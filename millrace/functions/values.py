@@ -121,47 +121,3 @@ CAPABILITIES = [
     ("builtin:s3", ["aws.bucket"], ["aws.region", "aws.accessKeyId", "aws.secretAccessKey", "path.prefix"]),
     ("builtin:http", ["url"], ["method", "headers", "timeout", "retry.max"]),
 ]
-
-# Setting names of the rule table for A37.
-# kind part, target, source keys in order of preference, default, required, sensitive, suffix
-REMAP_RULES = [
-    ("debezium", "host", ["database.hostname"], None, True, False, ""),
-    ("debezium", "port", ["database.port"], "3306", False, False, ""),
-    ("debezium", "user", ["database.user"], None, True, False, ""),
-    ("debezium", "password", ["database.password"], None, False, True, ""),
-    ("debezium", "database", ["database.dbname", "database.name"], None, False, False, ""),
-    ("debezium", "tables", ["table.include.list", "table.whitelist"], None, False, False, ""),
-    ("debezium", "server.id", ["database.server.id"], None, False, False, ""),
-    ("debezium", "snapshot.mode", ["snapshot.mode"], None, False, False, ""),
-    ("jdbc", "url", ["connection.url"], None, True, False, ""),
-    ("jdbc", "user", ["connection.user"], None, False, False, ""),
-    ("jdbc", "password", ["connection.password"], None, False, True, ""),
-    ("jdbc", "mode", ["mode"], None, False, False, ""),
-    ("jdbc", "tables", ["table.whitelist", "table.include.list"], None, False, False, ""),
-    ("jdbc", "query", ["query"], None, False, False, ""),
-    ("jdbc", "poll.interval", ["poll.interval.ms"], None, False, False, "ms"),
-    ("jdbc", "batch.size", ["batch.max.rows", "batch.size"], None, False, False, ""),
-    ("jdbc", "insert.mode", ["insert.mode"], None, False, False, ""),
-    ("jdbc", "pk.mode", ["pk.mode"], None, False, False, ""),
-    ("jdbc", "pk.fields", ["pk.fields"], None, False, False, ""),
-    ("s3", "aws.bucket", ["s3.bucket.name"], None, True, False, ""),
-    ("s3", "aws.region", ["s3.region", "region"], None, False, False, ""),
-    ("s3", "aws.accessKeyId", ["aws.access.key.id"], None, False, True, ""),
-    ("s3", "aws.secretAccessKey", ["aws.secret.access.key"], None, False, True, ""),
-    ("s3", "buffer.size", ["flush.size"], None, False, False, ""),
-    ("s3", "rotate.interval", ["rotate.interval.ms"], None, False, False, "ms"),
-    ("elasticsearch", "url", ["connection.url"], None, True, False, ""),
-    ("elasticsearch", "index", ["index.prefix"], None, False, False, ""),
-    ("elasticsearch", "username", ["connection.username"], None, False, False, ""),
-    ("elasticsearch", "password", ["connection.password"], None, False, True, ""),
-    ("http", "url", ["http.api.url"], None, True, False, ""),
-    ("http", "method", ["request.method"], None, False, False, ""),
-    ("http", "headers", ["headers"], None, False, False, ""),
-    ("mongo", "uri", ["connection.uri"], None, True, False, ""),
-    ("mongo", "db", ["database"], None, False, False, ""),
-    ("mongo", "collection", ["collection"], None, False, False, ""),
-    ("file", "path", ["file"], None, True, False, ""),
-    ("mirror", "servers", ["source.cluster.bootstrap.servers"], None, True, False, ""),
-    ("mirror", "topics", ["topics", "topics.regex"], None, False, False, ""),
-    ("mirror", "groupID", ["group.id"], None, False, False, ""),
-]

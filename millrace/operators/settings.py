@@ -1,10 +1,10 @@
-"""Settings of records: A7, A22, A26, A27, A36, A37. All row-local once a lookup row has joined the record."""
+"""Settings of records: A7, A22, A26, A27, A36. All row-local once a lookup row has joined the record."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions import maps, text, values
 from millrace.operators import skew
@@ -74,51 +74,3 @@ def carry_over(records: DataFrame, settings: str = "settings", raw: str | None =
     """Settings without runtime-specific keys; with ``raw``, keys only present there fill the gaps."""
     kept = F.map_filter(settings, lambda k, v: ~is_runtime_key(k, prefixes))
     return records.withColumn(out, kept if raw is None else maps.overlay(F.col(raw), kept))
-
-
-# --- A37 ---------------------------------------------------------------------------------------------------
-
-RULES = ("kind string, target string, sources array<string>, default_value string, required boolean, "
-         "sensitive boolean, suffix string")
-
-
-def default_rules(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(values.REMAP_RULES, RULES)
-
-
-def rule_kind(class_name: Column) -> Column:
-    """The kind whose rules apply: the first kind, in rule order, that the class name contains."""
-    kinds = list(dict.fromkeys(rule[0] for rule in values.REMAP_RULES))
-    name = F.lower(class_name)
-    return F.coalesce(*[F.when(F.contains(name, F.lit(k)), k) for k in kinds])
-
-
-def remap_keys(records: DataFrame, rules: DataFrame, kind: str = "kind", settings: str = "settings") -> DataFrame:
-    """Add ``remapped`` (target -> value) and ``unmet`` (required targets without a value).
-
-    A rule takes its first non-empty source key, else its default; it may translate the value (``value_map``), add a
-    unit suffix and mask. The rules of a kind travel to the record as one array: a lookup, not a shuffle of entries.
-    """
-    s = F.col(settings)
-    if "value_map" not in rules.columns:
-        rules = rules.withColumn("value_map", F.lit(None).cast("map<string,string>"))
-    fields = ["target", "sources", "default_value", "required", "sensitive", "suffix", "value_map"]
-    by_kind = rules.groupBy(F.col("kind").alias(kind)).agg(F.collect_list(F.struct(*fields)).alias("_rules"))
-    joined = skew.lookup(records, by_kind, [kind], "left")
-
-    def apply_rule(rule: Column) -> Column:
-        found = F.get(F.filter(F.transform(rule["sources"], lambda k: maps.filled(F.element_at(s, k))),
-                               lambda v: v.isNotNull()), F.lit(0))
-        mapped = F.coalesce(F.element_at(rule["value_map"], found), found)
-        value = F.coalesce(F.concat(mapped, F.coalesce(rule["suffix"], F.lit(""))), rule["default_value"])
-        value = F.when(rule["sensitive"] & value.isNotNull(), text.masked(rule["target"], value)).otherwise(value)
-        return F.struct(rule["target"].alias("key"), value.alias("value"), rule["required"].alias("required"))
-
-    done = joined.withColumn("_done", F.transform(F.coalesce(F.col("_rules"), F.array()), apply_rule))
-    set_values = F.filter("_done", lambda e: e["value"].isNotNull())
-    unmet = F.filter("_done", lambda e: e["required"] & e["value"].isNull())
-    return (
-        done.withColumn("remapped", maps.last_wins(F.transform(set_values, lambda e: F.struct(e["key"], e["value"]))))
-        .withColumn("unmet", F.transform(unmet, lambda e: e["key"]))
-        .drop("_rules", "_done")
-    )

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace import session
-from millrace.functions import text
-from millrace.operators import audit, catalog, settings
+from millrace.functions import setting_rules, text
+from millrace.operators import audit, catalog, remap, settings
 from millrace.queries import query
 from millrace.queries.inventory import heads
 from millrace.queries.tables import DEFS_SQL, definitions, table
@@ -138,23 +138,178 @@ def a36(spark: SparkSession, sf: str) -> DataFrame:
 @query("a37_remap_keys", f"""
     SELECT * FROM (SELECT record_id, unnest(keys) AS key, unnest(vals) AS value FROM (
         SELECT record_id,
-               CASE WHEN class LIKE '%debezium%' THEN ['host', 'port', 'user', '!user']
-                    WHEN lower(class) LIKE '%jdbc%' THEN ['url', 'mode', '!url', 'password']
-                    WHEN class LIKE '%mongo%' THEN ['!uri'] ELSE [] END AS keys,
+               CASE WHEN class LIKE '%debezium%' THEN ['host', 'port', 'user', 'cdc.enabled', '!user', '!database']
+                    WHEN class LIKE '%JdbcSource%'
+                    THEN ['host', 'port', 'database', 'password', 'cdc.mode', 'snapshot.mode', '!host', '!database']
+                    WHEN lower(class) LIKE '%jdbc%'
+                    THEN ['host', 'port', 'database', 'password', 'table', 'sdk.record.operation', '!host', '!database']
+                    WHEN class LIKE '%mongo%' THEN ['!uri', 'snapshot'] ELSE [] END AS keys,
                CASE WHEN class LIKE '%debezium%'
-                    THEN [database_hostname, '3306', database_user, CASE WHEN database_user IS NULL THEN 'unmet' END]
+                    THEN [database_hostname, '3306', database_user, 'true', CASE WHEN database_user IS NULL THEN 'unmet' END, 'unmet']
                     WHEN lower(class) LIKE '%jdbc%'
-                    THEN [connection_url, mode, CASE WHEN connection_url IS NULL THEN 'unmet' END,
+                    THEN [CASE WHEN connection_url IS NOT NULL THEN 'db' END, CASE WHEN connection_url IS NOT NULL THEN '5432' END,
+                          regexp_extract(connection_url, '/([^/]+)$', 1),
                           CASE WHEN connection_password LIKE '${{%' THEN connection_password ELSE '${{MASKED_PASSWORD}}' END]
-                    WHEN class LIKE '%mongo%' THEN ['unmet'] ELSE [] END AS vals
+                         || CASE WHEN class LIKE '%JdbcSource%' THEN ['snapshot', CASE WHEN mode = 'bulk' THEN 'initial_only' END]
+                                 ELSE [topic1, 'upsert'] END
+                         || CASE WHEN connection_url IS NULL THEN ['unmet', 'unmet'] ELSE [NULL, NULL] END
+                    WHEN class LIKE '%mongo%' THEN ['unmet', CASE WHEN topic2 = 'status-P' THEN 'true' END] ELSE [] END AS vals
         FROM ({DEFS_SQL}))) WHERE value IS NOT NULL
 """)
 def a37(spark: SparkSession, sf: str) -> DataFrame:
-    records = heads(spark, sf).withColumn("kind", settings.rule_kind(F.col("class")))
-    done = settings.remap_keys(records, settings.default_rules(spark))
-    unmet = F.map_from_arrays(F.transform("unmet", lambda k: F.concat(F.lit("!"), k)),
-                              F.transform("unmet", lambda k: F.lit("unmet")))
-    return done.select("record_id", F.explode(F.map_concat("remapped", unmet)))
+    records = heads(spark, sf).withColumn("kind", remap.rule_kind(F.col("class")))
+    done = remap.remap_settings(records)
+    unmet = F.col("value").isNull()
+    return done.select("record_id", F.when(unmet, F.concat(F.lit("!"), "target")).otherwise(F.col("target")).alias("key"),
+                       F.when(unmet, "unmet").otherwise(F.col("value")).alias("value"))
+
+
+# Values that rules tell apart; any other setting holds its own name and the record's number.
+_VALUES = {
+    "connection.url": ["jdbc:postgresql://h:5432/d?sslmode=require&ssl=no", "jdbc:mysql://u:p@h2/d2", "jdbc:sqlserver://h3:1433;databaseName=d3;ssl=yes"],
+    "mode": ["incrementing", "timestamp", "timestamp+incrementing", "bulk", "other"], "insert.mode": ["insert", "upsert", "update", "else"],
+    "snapshot.mode": ["initial", "never", "initial_only", "when_needed", "always", "schema_only"], "database.ssl.mode": ["disabled", "required"],
+    "format.class": ["io.x.JsonFormat", "io.x.AvroFormat", "io.x.ParquetFormat", "io.x.Other"],
+    "partitioner.class": ["io.x.TimeBasedPartitioner", "io.x.FieldPartitioner", "io.x.DefaultPartitioner"],
+    "key.serializer": ["x.ByteArraySerializer", "x.StringSerializer"], "value.serializer": ["x.KafkaJsonSerializer", "x.KafkaAvroSerializer", "x.Odd"],
+    "key.deserializer": ["x.ByteArrayDeserializer", "x.StringDeserializer"], "value.deserializer": ["x.JsonDeserializer", "x.AvroDeserializer"],
+    "security.protocol": ["PLAINTEXT", "SSL", "SASL_PLAINTEXT", "SASL_SSL"], "auth.type": ["BASIC", "OAUTH2", "BEARER", "NONE"],
+    "auth.user.info": ["me:se:cret", "nocolon"], "auth.bearer.token": ["t0", "${env:T}"], "topics": ["t1, t2", "t3"],
+    "document.id.strategy": ["x.BsonOidStrategy", "x.UuidStrategy", "x.ProvidedInKeyStrategy", "x.PartialValueStrategy", "x.Odd"],
+    "writemodel.strategy": ["x.ReplaceOneBusinessKeyStrategy", "x.DeleteOneDefaultStrategy", "x.UpdateOneTimestampsStrategy", "x.Odd"],
+}
+_FLAGS = ("tail", "copy.existing", "mongodb.upsert", "key.ignore", "cassandra.ssl.enabled", "redis.ssl.enabled", "autoCreateTables", "ssl",
+          "splunk.hec.ack.enabled", "auto.create", "auto.evolve", "database.encrypt", "database.trustServerCertificate")
+_VALUES |= {flag: ["true", "false"] for flag in _FLAGS}
+# The parts of the addresses above, for the SQL side.
+_URL_PARTS = [(0, "host", "h"), (0, "port", "5432"), (0, "database", "d"), (0, "sslmode", "require"), (0, "ssl", "no"),
+              (1, "host", "h2"), (1, "database", "d2"), (1, "user", "u"), (1, "password", "p"),
+              (2, "host", "h3"), (2, "port", "1433"), (2, "database", "d3"), (2, "ssl", "yes")]
+_ROWS = remap.rule_rows([(g, n, [p + n], {}) for g, p, names in setting_rules.KEPT_NAMES for n in names] + setting_rules.RULES, setting_rules.KINDS)
+_KINDS = list(dict.fromkeys(k for k, _, _ in setting_rules.KINDS))
+
+
+def _universe(kind: str) -> list[str]:
+    """All settings that the rules of a kind look at."""
+    own = [r for r in _ROWS if r[0] == kind]
+    keys = {r[3] for r in own if r[3]} | {c[0] for r in own for c in r[10]}
+    keys |= {"connection.url"} if any(k.startswith("url.") for k in keys) else set()
+    keys |= {"mongodb.hosts", "mongodb.user", "mongodb.password", "mongodb.authsource"} if "mongodb.uri" in keys else set()
+    keys |= {"headers.X-One", "headers.a.b"} if "headers.*" in keys else set()
+    return sorted(k for k in keys if not k.startswith("url.") and k not in ("mongodb.uri", "headers.*"))
+
+
+_KEYS = [(kind, j, key) for kind in _KINDS for j, key in enumerate(_universe(kind))]
+
+
+def connectors(spark: SparkSession, sf: str) -> DataFrame:
+    """``customer`` as connectors of all kinds, each with about three quarters of the settings its rules know."""
+    number = F.col("c_custkey")
+    kind = F.get(F.array(*[F.lit(k) for k in _KINDS]), (number % len(_KINDS)).cast("int"))
+
+    def settings_of(kind_: str) -> Column:
+        rows = []
+        for j, key in enumerate(_universe(kind_)):
+            values = _VALUES.get(key)
+            value = (F.get(F.array(*[F.lit(v) for v in values]), ((number + j) % len(values)).cast("int")) if values
+                     else F.concat(F.lit(f"{key}-"), number.cast("string")))
+            rows.append(F.struct(F.lit(key).alias("key"), F.when((number * 7 + F.col("c_nationkey") + j * 13) % 4 != 0, value).alias("value")))
+        return F.array(*rows)
+
+    pairs = F.coalesce(*[F.when(F.col("kind") == k, settings_of(k)) for k in _KINDS])
+    present = F.map_from_entries(F.filter(pairs, lambda e: e["value"].isNotNull()))
+    return table(spark, sf, "customer").withColumn("kind", kind).select(
+        number.alias("record_id"), "kind", F.inline(F.array(F.struct(present.alias("settings")))))
+
+
+def _sql(value: object) -> str:
+    if value is None:
+        return "NULL"
+    return str(value).lower() if isinstance(value, bool) else str(value) if isinstance(value, int) else "'" + value.replace("'", "''") + "'"
+
+
+def _values(rows: list[tuple]) -> str:
+    return "(VALUES " + ", ".join("(" + ", ".join(map(_sql, r)) + ")" for r in rows) + ")"
+
+
+_CONNECTORS_SQL = f"""
+    records AS (SELECT c_custkey AS record_id, c_nationkey AS nation,
+                       [{", ".join(map(_sql, _KINDS))}][(c_custkey % {len(_KINDS)} + 1)::INT] AS kind FROM customer),
+    plain AS (
+        SELECT record_id, r.kind, key, CASE WHEN n IS NULL THEN key || '-' || record_id ELSE vals[(record_id + j) % n + 1] END AS value,
+               CASE WHEN n IS NOT NULL THEN (record_id + j) % n END AS variant
+        FROM records r JOIN {_values(_KEYS)} k(kind, j, key) ON k.kind = r.kind
+        LEFT JOIN (SELECT key AS vkey, list(value ORDER BY nth) AS vals, count(*) AS n
+                   FROM {_values([(k, i, v) for k, vs in _VALUES.items() for i, v in enumerate(vs)])} v(key, nth, value) GROUP BY key) ON vkey = key
+        WHERE (record_id * 7 + nation + j * 13) % 4 <> 0),
+    entries AS (
+        SELECT record_id, kind, key, value FROM plain
+        UNION ALL SELECT record_id, kind, 'url.' || part, v FROM plain JOIN {_values(_URL_PARTS)} u(nth, part, v) ON key = 'connection.url' AND nth = variant
+        UNION ALL SELECT record_id, kind, 'mongodb.uri', 'mongodb://' || CASE WHEN u IS NOT NULL AND p IS NOT NULL THEN u || ':' || p || '@' ELSE '' END
+                         || h || CASE WHEN a IS NOT NULL THEN '/?authSource=' || a ELSE '' END
+        FROM (SELECT record_id, kind, max(value) FILTER (key = 'mongodb.hosts') AS h, max(value) FILTER (key = 'mongodb.user') AS u,
+                     max(value) FILTER (key = 'mongodb.password') AS p, max(value) FILTER (key = 'mongodb.authsource') AS a
+              FROM plain WHERE kind = 'debezium-mongo' GROUP BY ALL) WHERE h IS NOT NULL),
+    rules AS (SELECT row_number() OVER () AS rule, * FROM {_values([r[:10] for r in _ROWS])}
+              r(kind, precedence, target, source, default_value, required, secret, value_map, form, part)),
+    conditions AS (SELECT rules.rule, c.* EXCLUDE (kind, precedence)
+                   FROM rules JOIN {_values([(r[0], r[1], *c) for r in _ROWS for c in r[10]])} c(kind, precedence, key, test, wanted)
+                   ON c.kind = rules.kind AND c.precedence = rules.precedence),
+    failed AS (
+        SELECT DISTINCT r.record_id, c.rule FROM records r JOIN rules ON rules.kind = r.kind JOIN conditions c ON c.rule = rules.rule
+        LEFT JOIN entries e ON e.record_id = r.record_id AND e.key = c.key
+        WHERE NOT CASE test WHEN '!' THEN value IS NULL WHEN '*' THEN value IS NOT NULL WHEN '=' THEN coalesce(value = wanted, false)
+                            ELSE coalesce(contains(value, wanted), false) END),
+    taken AS (
+        SELECT e.record_id, r.kind, r.rule, r.precedence, r.required, r.form, r.secret, e.key AS source, r.value_map,
+               CASE WHEN r.source LIKE '%*' THEN replace(target, '*', substr(key, len(r.source))) ELSE target END AS target,
+               CASE part WHEN 'first' THEN trim(split_part(value, ',', 1)) WHEN 'before' THEN CASE WHEN contains(value, ':') THEN split_part(value, ':', 1) END
+                         WHEN 'after' THEN CASE WHEN contains(value, ':') THEN substr(value, strpos(value, ':') + 1) END ELSE value END AS value
+        FROM entries e JOIN rules r ON r.kind = e.kind AND (r.source = e.key OR (r.source LIKE '%*' AND starts_with(e.key, rtrim(r.source, '*'))))),
+    translated AS (
+        SELECT * EXCLUDE (value), CASE WHEN fit IS NULL THEN value ELSE result END AS value
+        FROM (SELECT t.*, m.place AS fit, m.result,
+                     row_number() OVER (PARTITION BY record_id, rule, source ORDER BY m.place) AS first
+              FROM taken t LEFT JOIN {_values([(n, i, p[0], p[1:], r) for i, (n, p, r) in enumerate(setting_rules.VALUE_MAPS)])}
+                   m(value_map, place, test, pattern, result)
+              ON m.value_map = t.value_map AND CASE test WHEN '=' THEN value = pattern ELSE contains(lower(value), lower(pattern)) END)
+        WHERE first = 1),
+    offered AS (
+        SELECT record_id, kind, rule, target, precedence, source, required,
+               replace(form, '{{}}', CASE WHEN secret IS NULL OR (value LIKE '${{%' AND value LIKE '%}}') THEN value
+                                          ELSE '${{MASKED_' || upper(secret) || '}}' END) AS value
+        FROM translated WHERE value IS NOT NULL
+        UNION ALL
+        SELECT record_id, r.kind, rule, target, precedence,
+               (SELECT arg_min(f.source, f.precedence) FROM rules f WHERE f.kind = r.kind AND f.target = rules.target AND f.source IS NOT NULL),
+               required, default_value
+        FROM records r JOIN rules ON rules.kind = r.kind AND rules.source IS NULL AND (default_value IS NOT NULL OR required)),
+    best AS (
+        SELECT record_id, kind, target, arg_min(struct_pack(value := value, source := source, precedence := precedence),
+                   precedence + CASE WHEN value IS NULL THEN 4000000000 ELSE 0 END) AS b, bool_or(required) AS required
+        FROM offered o WHERE NOT EXISTS (SELECT 1 FROM failed f WHERE f.record_id = o.record_id AND f.rule = o.rule) GROUP BY ALL)
+"""
+
+
+@query("a37_remap_kinds", f"""
+    WITH {_CONNECTORS_SQL}
+    SELECT record_id, kind, target, b.value AS value, required,
+           CASE WHEN b.value IS NULL OR b.precedence < {remap.LAST} THEN b.source END AS source
+    FROM best WHERE b.value IS NOT NULL OR required
+""")
+def a37_kinds(spark: SparkSession, sf: str) -> DataFrame:
+    """Every kind of connector, with all that its rules translate, default, mask, leave out or miss."""
+    return remap.remap_settings(connectors(spark, sf)).select("record_id", "kind", "target", "value", "required", "source")
+
+
+@query("a37_unmet_settings", f"""
+    WITH {_CONNECTORS_SQL}
+    SELECT kind, b.source AS field, count(*) AS n FROM best WHERE required AND b.value IS NULL GROUP BY ALL
+""")
+def a37_unmet(spark: SparkSession, sf: str) -> DataFrame:
+    records = connectors(spark, sf)
+    issues = remap.unmet_issues(remap.remap_settings(records))
+    return issues.join(records.select("record_id", "kind"), "record_id").groupBy("kind", "field").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("a38_parse_connection_url", """

@@ -190,26 +190,6 @@ def test_registry_precedence(spark):
     assert changed[1]["settings"]["schema.registry.url"] == "kept"
 
 
-def test_remap(spark):
-    df = spark.createDataFrame([
-        ("io.x.Debezium", {"database.hostname": "h", "database.name": "n", "database.password": "p"}),
-        ("io.y.JdbcSource", {"connection.url": "u", "poll.interval.ms": "5", "connection.password": "${file:x}"}),
-        ("other", {"a": "b"})], "class string, settings map<string,string>")
-    got = settings.remap_keys(df.withColumn("kind", settings.rule_kind(F.col("class"))), settings.default_rules(spark))
-    found = {r["class"]: (r["remapped"], r["unmet"]) for r in got.collect()}
-    assert found["io.x.Debezium"] == ({"host": "h", "port": "3306", "database": "n", "password": "${MASKED_PASSWORD}"},
-                                      ["user"])
-    assert found["io.y.JdbcSource"] == ({"url": "u", "poll.interval": "5ms", "password": "${file:x}"}, [])
-    assert found["other"] == ({}, [])
-
-
-def test_remap_value_map(spark):
-    rules = spark.createDataFrame([("k", "mode", ["m"], None, False, False, "", {"old": "new"})],
-                                  settings.RULES + ", value_map map<string,string>")
-    df = spark.createDataFrame([("k", {"m": "old"}), ("k", {"m": "same"})], "kind string, settings map<string,string>")
-    assert sorted(r["remapped"]["mode"] for r in settings.remap_keys(df, rules).collect()) == ["new", "same"]
-
-
 def brute_properties(text):
     lines = [line.removesuffix("\r") for line in text.split("\n")]
     if lines and lines[-1] == "":
