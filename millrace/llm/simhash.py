@@ -252,16 +252,13 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _star(np.concatenate([left, right]), forest(len(left) + len(right), found))
 
 
-def _block_pairs(blocks: DataFrame) -> DataFrame | None:
-    """(tile, x, y), x < y: pairs of blocks of one tile that the shared bits don't rule out; None where no tile has two blocks.
+def _block_pairs(blocks: DataFrame) -> DataFrame:
+    """(tile, x, y), x < y: pairs of blocks of one tile that the shared bits don't rule out.
 
     ``blocks`` has ``block``, the place in the tile. Nodes above the blocks are counted off in groups of FANOUT; a pair of nodes with too
     many differing bits among those both share is dropped with all pairs below it.
     """
-    deepest = blocks.agg(F.max("block")).first()[0] or 0
-    if not deepest:
-        return None
-    levels, node, width = [], blocks.select("tile", F.col("block").alias("node"), "ones", "any"), deepest + 1
+    levels, node, width = [], blocks.select("tile", F.col("block").alias("node"), "ones", "any"), blocks.agg(F.max("block")).first()[0] + 1
     while True:
         levels.append(node)
         if width == 1:
@@ -269,9 +266,8 @@ def _block_pairs(blocks: DataFrame) -> DataFrame | None:
         width = -(-width // FANOUT)
         node = saved(node.groupBy("tile", F.floor(F.col("node") / FANOUT).alias("node")).agg(
             F.bit_and("ones").alias("ones"), F.bit_or("any").alias("any")), "block_nodes")
-    # Tiles of one block have no pairs: they never get below the root.
-    several = blocks.where("block = 1").select("tile")
-    pairs = several.select("tile", F.lit(0).cast("long").alias("x"), F.lit(0).cast("long").alias("y"))
+    root = F.lit(0).cast("long")
+    pairs = levels[-1].select("tile", root.alias("x"), root.alias("y"))
     for level in levels[-2::-1]:
         side = lambda name: level.select("tile", F.floor(F.col("node") / FANOUT).alias(name), F.col("node").alias(f"{name}_node"),
                                          F.col("ones").alias(f"{name}_ones"), F.col("any").alias(f"{name}_any"))
@@ -290,15 +286,15 @@ def links(codes: DataFrame, block: int = BLOCK) -> DataFrame:
     placed = codes.select("code", tiles.alias("tile")).repartitionByRange("tile", rank).sortWithinPartitions("tile", rank)
     blocks = saved(placed.select("tile", "code").mapInArrow(_blocks(block), "tile long, codes array<long>, ones long, any long"), "blocks")
     within = blocks.select("codes").mapInArrow(_within, "a long, b long")
-    # Blocks are numbered by their first Gray rank, from the bits alone.
-    order = W.partitionBy("tile").orderBy(gray_rank(F.get("codes", F.lit(0))))
-    numbered = saved(blocks.select("tile", "ones", "any", F.get("codes", F.lit(0)).alias("first"),
-                                   (F.row_number().over(order) - 1).cast("long").alias("block")), "block_places")
-    pairs = _block_pairs(numbered)
-    if pairs is None:
+    # Few tiles have two blocks or more. Those are numbered by their first Gray rank, from the bits alone.
+    several = saved(blocks.groupBy("tile").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("tile"), "large_tiles")
+    if several.isEmpty():
         return within
-    own = blocks.select("tile", F.get("codes", F.lit(0)).alias("first"), "codes").join(
-        numbered.select("tile", "first", "block"), ["tile", "first"])
+    first = blocks.withColumn("first", F.get("codes", F.lit(0)))
+    place = (F.row_number().over(W.partitionBy("tile").orderBy(gray_rank(F.col("first")))) - 1).cast("long")
+    places = saved(first.drop("codes").join(several, "tile").withColumn("block", place), "block_places")
+    own = first.select("tile", "first", "codes").join(places.select("tile", "first", "block"), ["tile", "first"])
+    pairs = _block_pairs(places)
     side = lambda name, place: own.select("tile", F.col("block").alias(place), F.col("codes").alias(name))
     both = pairs.join(side("left_codes", "x"), ["tile", "x"]).join(side("right_codes", "y"), ["tile", "y"])
     return within.unionByName(both.select("left_codes", "right_codes").mapInArrow(_across, "a long, b long"))
@@ -312,7 +308,7 @@ def near_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     joined = saved(classes.join(found, classes["fp"] == found["node"], "left").select(
         "fp", "least", "class_size", F.coalesce("component", "fp").alias("component")), "joined_classes")
     smallest = saved(joined.groupBy("component").agg(F.min("least").alias("component_id")), "component_ids")
-    # Both sides of either join are plain tables, so AQE splits the partition of a very common fingerprint or component.
-    named = saved(joined.join(smallest, "component").select("fp", "component_id", "class_size"), "named_classes")
+    # All sides are plain tables or shuffled anew, so AQE splits the partition of a very common fingerprint or component.
+    named = joined.join(smallest, "component").select("fp", "component_id", "class_size")
     return prints.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "class_size")
