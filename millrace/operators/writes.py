@@ -1,8 +1,9 @@
 """Write modes W1-W8 and schema evolution W15, as joins between a target table and a batch of rows.
 
-Every mode is one join on the keys. The full outer form reads each side once; anti join plus union would read the
-batch twice. Keys identify a row, so no join key repeats on the target side; dedupe a raw batch with
-``last_per_key`` first, which aggregates before it shuffles.
+These give the whole new table as a plan; ``slices`` has the same modes for a stored table of which only the touched parts are rewritten.
+Whole rows replace the target's by an anti join and a union, so a small batch is broadcast and the target stays in place; the modes
+that mix old and new values of a row join the two sides. Keys identify a row. A batch that repeats a key is reduced by its ``order`` to the last row
+per key, by an aggregate that is partial before the shuffle; rows without a key match nothing and are added as they are.
 """
 
 from __future__ import annotations
@@ -38,17 +39,20 @@ def _chosen(target: DataFrame, rows: DataFrame) -> list[Column]:
     return out
 
 
-def write_update(target: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Change rows whose key exists; other incoming rows are ignored."""
+def write_update(target: DataFrame, rows: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """Change rows whose key exists; other incoming rows are ignored. Of rows that repeat a key the last by ``order`` counts."""
+    rows = last_per_key(rows, keys, order) if order else rows
     return _merge(target, rows, keys, "left").select(*_chosen(target, rows))
 
 
-def write_upsert(target: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+def write_upsert(target: DataFrame, rows: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """W3, the default mode: change existing keys, add new ones.
 
     Rows with all columns replace the target's by an anti join on their keys, so a small batch is broadcast and the target isn't
-    shuffled. Where a column is missing the old value is kept, which takes a full join.
+    shuffled. Where a column is missing the old value is kept, which takes a full join. Of rows that repeat a key the last by
+    ``order`` counts.
     """
+    rows = last_per_key(rows, keys, order) if order else rows
     if set(target.columns) <= set(rows.columns):
         kept = target.join(rows.select(*keys).distinct(), list(keys), "left_anti").select(*target.columns)
         return kept.unionByName(rows.select(*target.columns))

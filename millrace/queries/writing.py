@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.operators import writes
+from millrace import session
+from millrace.operators import slices, writes
 from millrace.queries import query
 from millrace.queries.tables import CHANGES_SQL, event_changes, table
 
@@ -51,6 +52,23 @@ def w3(spark: SparkSession, sf: str) -> DataFrame:
     return writes.write_mode(table(spark, sf, "customer"), customer_batch(spark, sf), ["c_custkey"])
 
 
+@query("w3_write_upsert_repeated_keys", """
+    WITH b AS (SELECT o_custkey AS c_custkey, 'order-' || o_orderkey AS c_name, o_custkey % 25 AS c_nationkey, o_totalprice AS c_acctbal,
+                      o_orderstatus AS c_mktsegment
+               FROM orders WHERE o_custkey % 3 = 0
+               QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1)
+    SELECT * FROM customer t WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.c_custkey = t.c_custkey)
+    UNION ALL SELECT * FROM b
+""")
+def w3_repeated(spark: SparkSession, sf: str) -> DataFrame:
+    """A batch with several versions of a customer: the last order of each counts."""
+    rows = table(spark, sf, "orders").where("o_custkey % 3 = 0").select(
+        F.col("o_custkey").alias("c_custkey"), F.concat(F.lit("order-"), "o_orderkey").alias("c_name"),
+        (F.col("o_custkey") % 25).cast("int").alias("c_nationkey"), F.col("o_totalprice").alias("c_acctbal"),
+        F.col("o_orderstatus").alias("c_mktsegment"), "o_orderdate", "o_orderkey")
+    return writes.write_upsert(table(spark, sf, "customer"), rows, ["c_custkey"], ["o_orderdate", "o_orderkey"])
+
+
 @query("w4_write_delete", f"""
     SELECT * FROM customer t WHERE NOT EXISTS (SELECT 1 FROM ({BATCH_SQL}) b WHERE b.c_custkey = t.c_custkey)
 """)
@@ -81,6 +99,44 @@ def w5_target(spark: SparkSession, sf: str) -> DataFrame:
     return writes.apply_changes(target, event_changes(spark, sf), ["user_id"], ["ts", "seq"])
 
 
+def stored_customers(spark: SparkSession, sf: str) -> str:
+    """Customers as a stored table of slices of 50 keys; its path."""
+    path = session.scratch_path(spark, "w5-slices")
+    target = table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("event_type"), F.col("c_acctbal").alias("value"))
+    slices.create(target, path, ["user_id"], "ts timestamp_ntz, seq bigint", F.floor(F.col("user_id") / 50))
+    return path
+
+
+@query("w5_apply_changes_by_slice", f"""
+    SELECT coalesce(l.user_id, c.c_custkey) AS user_id, coalesce(l.event_type, c.c_mktsegment) AS event_type,
+           coalesce(l.value, c.c_acctbal) AS value
+    FROM customer c FULL JOIN ({LAST_SQL}) l ON l.user_id = c.c_custkey
+    WHERE l.op IS NULL OR l.op <> 'd'
+""")
+def w5_slices(spark: SparkSession, sf: str) -> DataFrame:
+    """Two batches, the later events first: only slices that hold a changed key are rewritten."""
+    path, changes = stored_customers(spark, sf), event_changes(spark, sf)
+    for late in (True, False):
+        slices.apply_changes(spark, path, changes.where((F.col("seq") % 3 == 0) != late), ["user_id"], ["ts", "seq"])
+    return slices.read(spark, path)
+
+
+@query("w5_replaced_slices", """
+    SELECT c_custkey // 50 AS slice, bool_or(user_id IS NOT NULL) AS replaced, count(DISTINCT c_custkey)::BIGINT AS n
+    FROM customer LEFT JOIN (SELECT DISTINCT user_id FROM events WHERE user_id % 7 = 0) ON user_id = c_custkey GROUP BY 1
+""")
+def w5_replaced(spark: SparkSession, sf: str) -> DataFrame:
+    """Which slices got new files: those of a touched key, and no others."""
+    path = stored_customers(spark, sf)
+    files = lambda: spark.read.parquet(path).select(slices.SLICE, F.col("_metadata.file_path").alias("file"))
+    before = files().groupBy(slices.SLICE, "file").agg(F.count(F.lit(1)).alias("n")).checkpoint()
+    slices.apply_changes(spark, path, event_changes(spark, sf).where(F.coalesce("after.user_id", "before.user_id") % 7 == 0), ["user_id"], ["ts", "seq"])
+    kept = files().select("file").distinct().withColumn("kept", F.lit(True))
+    return before.join(kept, "file", "left").groupBy(F.col(slices.SLICE).cast("long").alias("slice")).agg(
+        (~F.bool_or(F.coalesce("kept", F.lit(False)))).alias("replaced"), F.sum("n").alias("n"))
+
+
 @query("w6_resolve_keys", """
     SELECT o_custkey, o_orderstatus, count(*) AS n FROM orders GROUP BY ALL
 """)
@@ -122,6 +178,28 @@ def w8(spark: SparkSession, sf: str) -> DataFrame:
     return writes.write_model(target, rows, ["c_custkey"], model, now=now)
 
 
+@query("w8_write_model_by_slice", f"""
+    SELECT coalesce(b.c_custkey, t.c_custkey) AS c_custkey, coalesce(b.c_acctbal, t.c_acctbal) AS c_acctbal,
+           coalesce(CASE WHEN t.c_custkey IS NOT NULL THEN TIMESTAMP '2024-01-01' END, TIMESTAMP '2024-06-01') AS inserted_ts,
+           CASE WHEN b.c_custkey IS NULL THEN TIMESTAMP '2024-01-01' ELSE TIMESTAMP '2024-06-01' END AS modified_ts
+    FROM (SELECT * FROM customer WHERE c_nationkey <> 3) t FULL JOIN (SELECT * FROM ({BATCH_SQL}) WHERE c_nationkey <> 3) b ON b.c_custkey = t.c_custkey
+    UNION ALL SELECT c_custkey, c_acctbal + 5, TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-01' FROM customer WHERE c_nationkey = 4
+""")
+def w8_slices(spark: SparkSession, sf: str) -> DataFrame:
+    """Four write models one after another on a stored table: timestamps, deletion, replacement of nothing, insertion."""
+    first, now = (F.lit(d).cast("timestamp_ntz") for d in ("2024-01-01", "2024-06-01"))
+    path, customers = session.scratch_path(spark, "w8-slices"), table(spark, sf, "customer")
+    slices.create(customers.select("c_custkey", "c_acctbal", first.alias("inserted_ts"), first.alias("modified_ts")), path, ["c_custkey"], slice_rows=1000)
+    slices.write_model(spark, path, customer_batch(spark, sf).select("c_custkey", "c_acctbal"), ["c_custkey"], "update_one_timestamps", now=now)
+    gone = customers.where("c_nationkey = 3")
+    both = F.explode(F.array(F.col("c_custkey"), -1 - F.col("c_custkey")))
+    slices.write_model(spark, path, gone.select(both.alias("c_custkey")), ["c_custkey"], "delete_one")
+    slices.write_model(spark, path, customers.limit(0).select("c_custkey", "c_acctbal"), ["c_custkey"])
+    more = customers.where("c_nationkey = 4").select("c_custkey", (F.col("c_acctbal") + 5).alias("c_acctbal"), first.alias("inserted_ts"), first.alias("modified_ts"))
+    slices.write_model(spark, path, more, ["c_custkey"], "insert_one")
+    return slices.read(spark, path)
+
+
 @query("w15_evolve_schema", f"""
     SELECT c_custkey, c_name, c_acctbal, NULL::VARCHAR AS tier FROM customer t
     WHERE NOT EXISTS (SELECT 1 FROM ({BATCH_SQL}) b WHERE b.c_custkey = t.c_custkey)
