@@ -36,7 +36,10 @@ STOPS = np.zeros(256, np.int32)
 STOPS[[*b".,;:!?", *range(0x0A, 0x0E)]] = 1
 KINDS = np.ones(256, np.uint8)
 KINDS[[0x20, 0x09, *np.flatnonzero(STOPS)]] = 0
-HELD = 1 << 20
+HELD = 1 << 18
+GATHERED = 1 << 19
+#: Bytes of text, and of stored labels, that are handled at once.
+TEXT, LABELS = 1 << 21, 1 << 20
 RANGE_BITS = 12
 MARK_BITS = 26
 
@@ -51,16 +54,25 @@ def _runs(first: np.ndarray, count: np.ndarray) -> np.ndarray:
 
 
 def _cut(data: np.ndarray, start: np.ndarray, end: np.ndarray, between: int, after: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of words data[start:end] (2-d) as bytes with ``between`` them and ``after`` each row, and the rows' offsets. ``data`` has a byte to spare."""
+    """Rows of words data[start:end] (2-d) as bytes with ``between`` them and ``after`` each row, and the rows' offsets. ``data`` has a byte to spare.
+
+    The bytes are gathered some ``GATHERED`` at a time, as each takes several numbers of eight bytes on the way.
+    """
     size = end - start + 1
     if after is None:
         size[:, -1] -= 1
-    out = data[_runs(start.ravel(), size.ravel())]
-    stop = np.cumsum(size.ravel()).reshape(size.shape)
-    out[stop[:, :-1].ravel() - 1] = between
-    if after is not None:
-        out[stop[:, -1] - 1] = after
-    return out, np.r_[0, stop[:, -1]].astype(np.int32)
+    offsets = np.r_[0, np.cumsum(size.sum(axis=1))]
+    out, at = np.empty(int(offsets[-1]), np.uint8), 0
+    while at < len(size):
+        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + GATHERED, "right")) - 1)
+        part, count = out[offsets[at]:offsets[to]], size[at:to]
+        part[:] = data[_runs(start[at:to].ravel(), count.ravel())]
+        stop = np.cumsum(count.ravel()).reshape(count.shape)
+        part[stop[:, :-1].ravel() - 1] = between
+        if after is not None:
+            part[stop[:, -1] - 1] = after
+        at = to
+    return out, offsets.astype(np.int32)
 
 
 def _array(kind: pa.DataType, data: np.ndarray, offsets: np.ndarray) -> pa.Array:
@@ -158,7 +170,7 @@ def _counted(sizes: list[int], marks: np.ndarray | None, held: int) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shards = {n: Shard(n, held=held) for n in sizes}
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", most=TEXT):
             data, bounds = flat(column(batch, "text"))
             data = np.r_[LOWER[data], np.uint8(0)]
             found = words(data[:-1], bounds, KINDS, SAME)
@@ -211,9 +223,7 @@ def _merged(batches: Iterator[pa.RecordBatch], held: int = HELD) -> Iterator[tup
             yield lang, n, done.filter(pc.is_in(done["key"], pa.array(own, pa.int64())))
         parts, rows, most = [rest], len(rest), max(held, 2 * len(rest))
 
-    for batch in batches:
-        if not batch.num_rows:
-            continue
+    for batch in slices(batches, "labels", most=LABELS):
         row_keys = []
         for key in zip(*(column(batch, c).to_pylist() for c in ("lang", "n", "range"))):
             if key != last:
@@ -271,7 +281,7 @@ def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches, "labels", most=LABELS):
         n_of = column(batch, "n").to_numpy()
         for n in np.unique(n_of).tolist():
             own = batch.take(pa.array(np.flatnonzero(n_of == n)))
@@ -282,8 +292,8 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _marks(bits: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks, found = np.zeros(1 << bits, np.bool_), False
-        for batch in batches:
+        marks, found = np.zeros((1 << bits) // 8, np.uint8), False
+        for batch in slices(batches, "labels", most=LABELS):
             n_of = column(batch, "n").to_numpy()
             for n in np.unique(n_of).tolist():
                 rows = batch.take(pa.array(np.flatnonzero(n_of == n)))
@@ -291,9 +301,11 @@ def _marks(bits: int) -> Callable:
                 if len(row):
                     hashes = words(*flat(phrases), KINDS, SAME).hash
                     salt = _lang_hashes(column(rows, "lang").to_pylist())[row]
-                    marks[(mix(runs_of(hashes, n)[::n] + salt) >> np.uint64(64 - bits)).astype(np.int64)] = found = True
+                    at = (mix(runs_of(hashes, n)[::n] + salt) >> np.uint64(64 - bits)).astype(np.int64)
+                    np.bitwise_or.at(marks, at >> 3, np.uint8(128) >> (at & 7).astype(np.uint8))
+                    found = True
         if found:
-            yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(np.packbits(marks).tobytes(), 1)], pa.binary())], names=["marks"])
+            yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(marks.tobytes(), 1)], pa.binary())], names=["marks"])
 
     return run
 
