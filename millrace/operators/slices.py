@@ -42,21 +42,24 @@ def create(rows: DataFrame, path: str, keys: Sequence[str], order: str = "", sli
     """Store ``rows`` as a table: by ranges of the keys, or by ``slice_of``, a non-negative number per row.
 
     ``order`` names and types the columns that will tell older from newer versions of a row (``ts timestamp, seq bigint``). They are kept as
-    hidden values, null for the first rows, which any change may replace.
+    hidden values, null for the first rows, which any change may replace. A table without rows holds a tombstone without keys.
     """
     new = rows.withColumn(GONE, F.lit(False)).withColumn(ORDER, F.lit(None).cast(StructType.fromDDL(order or "none boolean")))
     if slice_of is not None:
         _write(new.withColumn(SLICE, slice_of.cast("long")), path, keys)
-    else:
-        _append(new, path, keys, 0, slice_rows)
+    elif not _append(new, path, keys, 0, slice_rows):
+        nothing = rows.sparkSession.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields])
+        none = nothing.withColumn(GONE, F.lit(True)).withColumn(ORDER, F.lit(None).cast(new.schema[ORDER].dataType))
+        _write(none.withColumn(SLICE, F.lit(0).cast("long")), path, keys)
 
 
-def _append(rows: DataFrame, path: str, keys: Sequence[str], first: int, slice_rows: int) -> None:
-    """Rows of new keys as slices of their own, by ranges of the keys."""
+def _append(rows: DataFrame, path: str, keys: Sequence[str], first: int, slice_rows: int) -> int:
+    """Rows of new keys as slices of their own, by ranges of the keys; how many they are."""
     count = rows.count()
     if count:
         ranged = rows.repartitionByRange(-(-count // slice_rows), *keys).withColumn(SLICE, F.lit(first) + F.spark_partition_id())
         ranged.sortWithinPartitions(*keys).write.mode("append").partitionBy(SLICE).parquet(path)
+    return count
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:

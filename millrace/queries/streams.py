@@ -5,32 +5,50 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace import session
-from millrace.operators import steps
+from millrace.operators import slices, steps
 from millrace.queries import SQL, query
-from millrace.queries.capture import stream_path
 from millrace.queries.records import CHAIN
 from millrace.queries.tables import event_envelopes, table
 from millrace.sources import capture
-from millrace.streaming import changelog, failures, runs
+from millrace.streaming import runs, state
+
+
+BATCHES = 4
 
 
 def event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    return capture.read_files(spark, stream_path(sf, "events"), "parquet", table(spark, sf, "events").schema, tail=True,
-                              **capture.source_pace(max_files=1000))
+    """``events`` as four files in the order of time, which a stream reads as four micro-batches."""
+    path, events = session.scratch_path(spark, "events"), table(spark, sf, "events")
+    first, last = events.agg(F.min("event_id"), F.max("event_id")).first()
+    for k in range(BATCHES):
+        place = F.floor((F.col("event_id") - first) * BATCHES / ((last or 0) - (first or 0) + 1))
+        events.where(place == k).coalesce(1).write.mode("append").parquet(path)
+    return capture.read_files(spark, path, "parquet", events.schema, tail=True, **capture.source_pace(max_files=1))
 
 
 @query("w5_apply_changes_stream", SQL["w5_apply_changes"])
 def w5_stream(spark: SparkSession, sf: str) -> DataFrame:
-    root = session.scratch_path(spark, "w5-stream")
-    changelog.record_changes(event_envelopes(event_stream(spark, sf)), root, ["user_id"], ["ts", "seq"])
-    changelog.compact(spark, root, ["user_id"], ["ts", "seq"])
-    return changelog.current_state(spark, root, ["user_id"], ["ts", "seq"])
+    path = session.scratch_path(spark, "w5-stream")
+    state.fold_changes(event_envelopes(event_stream(spark, sf)), path, ["user_id"], ["ts", "seq"])
+    return slices.read(spark, path)
 
 
 @query("w17_nack_breaches_stream", SQL["w17_nack_breaches"])
 def w17_stream(spark: SparkSession, sf: str) -> DataFrame:
-    return failures.record_breaches(event_stream(spark, sf), session.scratch_path(spark, "w17-stream"), ["user_id"],
-                                    ["ts", "event_id"], F.col("event_type") == "error", 10, 4)
+    found = state.nack_breaches(event_stream(spark, sf), ["user_id"], ["ts", "event_id"], F.col("event_type") == "error", 10, 4)
+    return runs.to_files(found, session.scratch_path(spark, "w17-stream"))
+
+
+@query("w19_to_key_value_stream", """
+    SELECT 'user:' || user_id AS key, arg_max(value, (ts, event_id)) AS value, max(ts) AS written
+    FROM events GROUP BY user_id HAVING max(ts) + INTERVAL 3 DAY > (SELECT max(ts) FROM events)
+""")
+def w19_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys expire while later batches move the watermark on."""
+    path = session.scratch_path(spark, "w19-stream")
+    rows = state.to_key_value(event_stream(spark, sf), "user_id", "value", "ts", "user:", 3 * 86400, ["event_id"])
+    state.into_table(rows, path, ["key"], [], "expired", f"{path}-checkpoint")
+    return slices.read(spark, path).withColumn("written", F.col("written").cast("timestamp_ntz"))
 
 
 @query("t13_apply_steps_stream", SQL["t13_apply_steps"])

@@ -1,9 +1,8 @@
-"""Run a stream until its source is exhausted. Every writer here can repeat a batch after a failure."""
+"""Run a stream until its source is exhausted."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -23,37 +22,9 @@ def to_files(rows: DataFrame, path: str, fmt: str = "parquet", interval_ms: int
     return rows.sparkSession.read.schema(rows.schema).format(fmt).load(path)
 
 
-def each_batch(rows: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str,
-               interval_ms: int | None = None) -> None:
-    """``foreachBatch``; ``fn`` gets the batch number and must give the same result when it is repeated."""
-    writer = rows.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
-    finish(capture.pace(writer, interval_ms).start())
-
-
-def finished(spark: SparkSession, folder: str) -> dict[int, str]:
-    """Number -> path of the finished ``name=N`` folders below ``folder``."""
-    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(conf)
-    if not fs.exists(path):
-        return {}
-    out = {}
-    for status in fs.listStatus(path):
-        child = status.getPath()
-        if "=" in child.getName() and fs.exists(jvm.org.apache.hadoop.fs.Path(child, "_SUCCESS")):
-            out[int(child.getName().rsplit("=", 1)[1])] = child.toString()
-    return out
-
-
-def log_paths(spark: SparkSession, base: str, batches: str, before: int | None = None) -> tuple[list[str], int]:
-    """Folders that together hold a log (newest base, then later batches), and the last batch they cover.
-
-    ``before`` leaves out that batch and later ones, so a repeated batch does not read its own first try.
-    """
-    def wanted(folder: str) -> dict[int, str]:
-        return {n: p for n, p in finished(spark, folder).items() if before is None or n < before}
-
-    bases, later = wanted(base), wanted(batches)
-    upto = max(bases, default=-1)
-    paths = ([bases[upto]] if bases else []) + [p for n, p in sorted(later.items()) if n > upto]
-    return paths, max([upto, *later])
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table can be read at ``path``."""
+    try:
+        return bool(spark.read.parquet(path).columns)
+    except AnalysisException:
+        return False

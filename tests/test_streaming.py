@@ -5,10 +5,10 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators import deadletter, steps, writes
+from millrace.operators import deadletter, slices, steps, writes
 from millrace.queries.tables import event_envelopes
 from millrace.sources import capture
-from millrace.streaming import changelog, failures, runs
+from millrace.streaming import runs, state
 from tests.conftest import rows
 
 EVENTS = "/root/testdata/sf0.001/events.parquet"
@@ -31,25 +31,36 @@ def stream(spark, folder):
 
 
 def test_changes(spark, folder, tmp_path):
-    root, keys, order = str(tmp_path / "log"), ["user_id"], ["ts", "seq"]
-    changelog.record_changes(event_envelopes(stream(spark, folder)), root, keys, order)
+    path, keys, order = str(tmp_path / "table"), ["user_id"], ["ts", "seq"]
+    state.fold_changes(event_envelopes(stream(spark, folder)), path, keys, order)
     expected = rows(writes.apply_changes(None, event_envelopes(spark.read.parquet(folder)), keys, order))
-    assert len(runs.finished(spark, f"{root}/changes")) == 4
-    assert rows(changelog.current_state(spark, root, keys, order)) == expected
-    assert changelog.compact(spark, root, keys, order) == 3
-    assert rows(changelog.current_state(spark, root, keys, order)) == expected
+    assert rows(slices.read(spark, path)) == expected
     # A restart finds nothing new and changes nothing.
-    changelog.record_changes(event_envelopes(stream(spark, folder)), root, keys, order)
-    assert rows(changelog.current_state(spark, root, keys, order)) == expected
+    state.fold_changes(event_envelopes(stream(spark, folder)), path, keys, order)
+    assert rows(slices.read(spark, path)) == expected
+    # A new stream over the same changes, as after a lost checkpoint, gives the same table too.
+    state.into_table(state.last_changes(event_envelopes(stream(spark, folder)), keys, order), path, keys, order, "__deleted", str(tmp_path / "again"))
+    assert rows(slices.read(spark, path)) == expected
 
 
-def test_unfinished_batches_are_not_read(spark, tmp_path):
-    root = str(tmp_path / "log")
-    spark.createDataFrame([(1, "a", False, 1)], "id int, v string, __deleted boolean, seq int").write.parquet(
-        f"{root}/changes/batch=0")
-    (tmp_path / "log" / "changes" / "batch=1").mkdir()
-    assert list(runs.finished(spark, f"{root}/changes")) == [0]
-    assert rows(changelog.current_state(spark, root, ["id"], ["seq"])) == [(1, "a")]
+def test_changes_after_a_restart(spark, folder, tmp_path):
+    source, path = str(tmp_path / "in"), str(tmp_path / "table")
+    parts = sorted((spark.read.parquet(f) for f in spark.read.parquet(folder).inputFiles()), key=lambda df: df.agg(F.min("event_id")).first()[0])
+    for some in (parts[2:], parts[:2]):  # the older half comes late
+        for part in some:
+            part.coalesce(1).write.mode("append").parquet(source)
+        state.fold_changes(event_envelopes(stream(spark, source)), path, ["user_id"], ["ts", "seq"])
+    expected = writes.apply_changes(None, event_envelopes(spark.read.parquet(folder)), ["user_id"], ["ts", "seq"])
+    assert rows(slices.read(spark, path)) == rows(expected)
+
+
+def test_streams_without_rows(spark, folder, tmp_path):
+    source, path = str(tmp_path / "in"), str(tmp_path / "table")
+    spark.read.parquet(folder).limit(0).write.parquet(source)
+    state.fold_changes(event_envelopes(stream(spark, source)), path, ["user_id"], ["ts", "seq"])
+    assert slices.read(spark, path).count() == 0
+    found = state.nack_breaches(stream(spark, source), KEYS, ORDER, bad(), 3, 1)
+    assert runs.to_files(found, str(tmp_path / "out")).count() == 0
 
 
 WINDOWS = [(10, 4), (1, 1), (25, 6)]
@@ -61,35 +72,42 @@ def bad():
 
 
 @pytest.mark.parametrize("size,threshold", WINDOWS)
-def test_failures_in_the_state_store(spark, folder, tmp_path, size, threshold):
-    found = failures.nack_breaches_stateful(stream(spark, folder), KEYS, ORDER, bad(), size, threshold)
+def test_failures(spark, folder, tmp_path, size, threshold):
+    found = state.nack_breaches(stream(spark, folder), KEYS, ORDER, bad(), size, threshold)
     batch = deadletter.nack_breaches(spark.read.parquet(folder), KEYS, ORDER, bad(), size, threshold)
     assert rows(runs.to_files(found, str(tmp_path / "out"))) == rows(batch)
 
 
-@pytest.mark.parametrize("size,threshold", WINDOWS)
-@pytest.mark.parametrize("hot_rows", [10**6, 20])
-def test_failures_in_a_log(spark, folder, tmp_path, size, threshold, hot_rows):
-    root = str(tmp_path / "log")
-    batch = rows(deadletter.nack_breaches(spark.read.parquet(folder), KEYS, ORDER, bad(), size, threshold))
-    assert rows(failures.record_breaches(stream(spark, folder), root, KEYS, ORDER, bad(), size, threshold,
-                                         hot_rows=hot_rows)) == batch
-
-
-def test_log_goes_on_after_compaction(spark, folder, tmp_path):
-    root, path = str(tmp_path / "log"), str(tmp_path / "in")
-    parts = [spark.read.parquet(f) for f in sorted(spark.read.parquet(folder).inputFiles())]
-    parts = sorted(parts, key=lambda df: df.agg(F.min("event_id")).first()[0])
-    for part in parts[:2]:
-        part.coalesce(1).write.mode("append").parquet(path)
-    failures.record_breaches(stream(spark, path), root, KEYS, ORDER, bad(), 10, 4)
-    assert failures.compact_recent(spark, root, KEYS, ORDER, 10) == 1
-    for part in parts[2:]:
-        part.coalesce(1).write.mode("append").parquet(path)
-    got = failures.record_breaches(stream(spark, path), root, KEYS, ORDER, bad(), 10, 4)
+def test_failures_go_on_after_a_restart(spark, folder, tmp_path):
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    parts = sorted((spark.read.parquet(f) for f in spark.read.parquet(folder).inputFiles()), key=lambda df: df.agg(F.min("event_id")).first()[0])
+    for some in (parts[:2], parts[2:]):
+        for part in some:
+            part.coalesce(1).write.mode("append").parquet(path)
+        got = runs.to_files(state.nack_breaches(stream(spark, path), KEYS, ORDER, bad(), 10, 4), out)
     assert rows(got) == rows(deadletter.nack_breaches(spark.read.parquet(folder), KEYS, ORDER, bad(), 10, 4))
 
 
+def test_keys_expire(spark, tmp_path):
+    source, path = str(tmp_path / "in"), str(tmp_path / "table")
+    batches = [[("a", 1, "2024-01-01 00:00:00"), ("b", 2, "2024-01-01 00:00:05"), ("a", 0, "2023-12-31 23:59:59")],
+               [("b", 3, "2024-01-01 00:00:08"), ("c", 4, "2024-01-01 00:00:09")],
+               [("d", 5, "2024-01-01 00:00:16")], [("a", 6, "2024-01-01 00:00:17"), ("b", 7, "2024-01-01 00:00:18")]]
+    schema = "k string, v int, ts timestamp"
+
+    def step():
+        given = capture.read_files(spark, source, "parquet", schema, tail=True, **capture.source_pace(max_files=1))
+        state.into_table(state.to_key_value(given, "k", "v", "ts", "p:", 10), path, ["key"], [], "expired", str(tmp_path / "checkpoint"))
+        return {r.key: r.value for r in slices.read(spark, path).collect()}
+
+    seen = []
+    for batch in batches:
+        spark.createDataFrame(batch, "k string, v int, ts string").withColumn("ts", F.col("ts").cast("timestamp")).coalesce(1).write.mode("append").parquet(source)
+        seen.append(step())
+    # a expires when the watermark passes 00:00:10, b's first write never does as a second one follows, a comes back.
+    assert seen == [{"p:a": 1, "p:b": 2}, {"p:a": 1, "p:b": 3, "p:c": 4}, {"p:b": 3, "p:c": 4, "p:d": 5}, {"p:a": 6, "p:b": 7, "p:c": 4, "p:d": 5}]
+
+
 @pytest.mark.parametrize("change", [
     lambda df: steps.route_regex(df.withColumn("topic", F.col("event_type")), "(c.*)", "new-$1"),
     lambda df: steps.convert_timestamp(df, "ts", "string"),
