@@ -52,61 +52,58 @@ def load_capabilities(spark: SparkSession) -> DataFrame:
 
 # --- A9, A10 -----------------------------------------------------------------------------------------------
 
+#: Length of the pieces that texts are looked up by.
+GRAM = 5
+
+
+def _pieces(text: Column, size: Column) -> Column:
+    """The distinct pieces of ``size`` characters of a text."""
+    return F.when(F.length(text) >= size, F.array_distinct(F.transform(
+        F.sequence(F.lit(1), F.length(text) - size + 1), lambda i: F.substr(text, i, size))))
+
+
+def contained(hays: DataFrame, needles: DataFrame) -> DataFrame:
+    """(hay, needle): all pairs of a text of ``hays`` and a text of ``needles`` within it; both have one column of distinct texts.
+
+    An inverted index: each hay is listed under its pieces of ``GRAM`` characters, each needle is looked up under the one of its own pieces that the
+    fewest hays have (a shorter needle is a piece itself), and what meets there is compared. A needle with a piece that no hay has is
+    out at once. Joins are equal joins on pieces, whatever the number of texts on either side.
+    """
+    hays, needles = hays.toDF("hay").where("hay <> ''"), needles.toDF("needle").where("needle <> ''")
+    size = F.least(F.length("needle"), F.lit(GRAM))
+    sizes = needles.select(size.alias("size")).distinct().agg(F.collect_set("size")).scalar()  # GRAM numbers at most
+    listed = hays.select("hay", F.explode(sizes).alias("size")).select("hay", F.explode(_pieces(F.col("hay"), F.col("size"))).alias("piece"))
+    frequency = listed.groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
+    own = needles.select("needle", F.explode(_pieces(F.col("needle"), size)).alias("piece")).join(frequency, "piece", "left")
+    rarest = own.groupBy("needle").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "piece")).alias("least")).where("least.n > 0")
+    met = listed.join(rarest.select("needle", F.col("least.piece").alias("piece")), "piece")
+    return met.where(F.contains("hay", "needle")).select("hay", "needle")
+
+
 def match_classes(classes: DataFrame, catalog: DataFrame) -> DataFrame:
     """(class, key): the catalog key of each distinct class.
 
     An equal key wins. Otherwise either text contains the other; the longest key wins, then the alphabetical first.
-    Containment is an equi join on substrings: a text of length n has at most n substrings per key length, so the work
-    is linear in the inputs and hash partitioned, where comparing all pairs would not be.
     """
-    keys = catalog.select(F.col("class").alias("key")).where("key <> ''").distinct()
-    names = classes.select("class").where("class <> ''").distinct()
-    sizes = keys.select(F.length("key").alias("size")).distinct().agg(F.collect_set("size")).scalar()
-    holds_key = (
-        names.select("class", F.explode(sizes).alias("size")).where(F.col("size") <= F.length("class"))
-        .select("class", F.explode(F.array_distinct(F.transform(
-            F.sequence(F.lit(1), F.length("class") - F.col("size") + 1),
-            lambda i: F.substr(F.col("class"), i, F.col("size"))))).alias("key"))
-        .join(keys, "key")
-    )
-    every = F.explode(F.sequence(F.lit(1), F.length("key")))
-    parts = (
-        keys.select("key", every.alias("size"))
-        .select("key", F.explode(F.array_distinct(F.transform(
-            F.sequence(F.lit(1), F.length("key") - F.col("size") + 1),
-            lambda i: F.substr(F.col("key"), i, F.col("size"))))).alias("class"))
-    )
-    inside_key = names.join(parts, "class").select("class", "key")
-    found = holds_key.select("class", "key").unionByName(inside_key)
+    keys, names = catalog.select(F.col("class").alias("key")).distinct(), classes.select("class").distinct()
+    found = contained(names, keys).toDF("class", "key").unionByName(contained(keys, names).toDF("key", "class"))
     best = F.min(F.struct(F.col("class") != F.col("key"), -F.length("key"), F.col("key").alias("key"))).alias("best")
     return found.groupBy("class").agg(best).select("class", "best.key")
 
 
-INLINE_KEYS = 100  # a catalog of at most this many keys is matched inside each row
-
-
-def best_key(class_name: Column, keys: list[str]) -> Column:
-    """The same rule as ``match_classes`` for a short list of keys, as one expression."""
-    out = F.when(class_name == "", None).when(class_name.isin(keys), class_name)
-    for key in sorted(keys, key=lambda k: (-len(k), k)):
-        out = out.when(F.contains(class_name, F.lit(key)) | F.contains(F.lit(key), class_name), key)
-    return out
-
-
-def match_catalog(records: DataFrame, catalog: DataFrame, inline_keys: int = INLINE_KEYS) -> DataFrame:
+def match_catalog(records: DataFrame, catalog: DataFrame) -> DataFrame:
     """Add the catalog columns to each record by its ``class``; ``catalog_class`` is null without a match.
 
-    A short catalog is matched row by row, in the pass that reads the records. With a longer one only distinct classes
-    are compared; their matches are checkpointed, counted and broadcast when small, else joined with hot classes salted.
+    Only distinct classes are compared. Their matches are written once, so a small table of them is broadcast and, where a large one meets the
+    records by a shuffle, AQE splits the partition of a very common class. Of catalog rows that repeat a class the least by all its
+    attributes counts.
     """
-    attributes = catalog.withColumnRenamed("class", "catalog_class").dropDuplicates(["catalog_class"])
-    keys = [r[0] for r in catalog.select("class").where("class <> ''").limit(inline_keys + 1).collect()]
-    if len(keys) <= inline_keys:
-        found = records.withColumn("catalog_class", best_key(F.col("class"), keys) if keys else F.lit(None).cast("string"))
-        return found.join(F.broadcast(attributes), "catalog_class", "left")
-    session.shared_folder(records.sparkSession)
+    rest = [c for c in catalog.columns if c != "class"]
+    attributes = catalog.groupBy(F.col("class").alias("catalog_class"))
+    attributes = attributes.agg(F.min(F.struct(*rest)).alias("_row")).select("catalog_class", "_row.*") if rest else attributes.agg(
+        F.count(F.lit(1)).alias("_n")).drop("_n")
     matched = match_classes(records, catalog).withColumnRenamed("key", "catalog_class").join(attributes, "catalog_class")
-    return skew.lookup(records, matched.checkpoint(), ["class"], "left")
+    return skew.lookup(records, session.written(matched, "matches"), ["class"], "left")
 
 
 def default_unmatched(matched: DataFrame) -> DataFrame:
@@ -170,6 +167,15 @@ def suggest(catalog: DataFrame, text: str) -> DataFrame:
     return catalog.where(F.contains(name, wanted) | ((name != "") & F.contains(wanted, name)))
 
 
+def suggest_all(catalog: DataFrame, texts: DataFrame) -> DataFrame:
+    """A35 for many searches at once: (text, class, catalog_name) by the same index as the catalog's own matching."""
+    wanted = texts.toDF("text").distinct().withColumn("_wanted", F.lower(F.trim("text")))
+    named = catalog.select("class", "catalog_name", F.lower("catalog_name").alias("_name"))
+    searched, names = wanted.select("_wanted").distinct(), named.select("_name").distinct()
+    pairs = contained(names, searched).toDF("_name", "_wanted").unionByName(contained(searched, names).toDF("_wanted", "_name")).distinct()
+    return wanted.join(pairs, "_wanted").join(named, "_name").select("text", "class", "catalog_name")
+
+
 def catalog_quality(catalog: DataFrame) -> DataFrame:
     """One row per missing attribute: class, severity, message."""
 

@@ -151,6 +151,30 @@ def a9(spark: SparkSession, sf: str) -> DataFrame:
     return catalog.match_catalog(parts, names)
 
 
+@query("a9_match_large_catalog", """
+    WITH keys AS (
+        SELECT c_name AS key FROM customer WHERE c_custkey % 2 = 1
+        UNION SELECT 'feed.' || c_name || '.v1.extra' FROM customer WHERE c_custkey % 4 = 0
+        UNION SELECT 'v' || (c_custkey % 2) FROM customer),
+    classes AS (SELECT DISTINCT 'feed.' || c_name || '.v' || (o_orderkey % 3) AS class FROM orders JOIN customer ON c_custkey = o_custkey),
+    best AS (
+        SELECT class, key FROM classes JOIN keys ON contains(class, key) OR contains(key, class)
+        QUALIFY row_number() OVER (PARTITION BY class ORDER BY class <> key, length(key) DESC, key) = 1)
+    SELECT o_orderkey, class, key AS catalog_class
+    FROM (SELECT o_orderkey, 'feed.' || c_name || '.v' || (o_orderkey % 3) AS class FROM orders JOIN customer ON c_custkey = o_custkey)
+    LEFT JOIN best USING (class)
+""")
+def a9_large(spark: SparkSession, sf: str) -> DataFrame:
+    """A catalog that grows with the customers: over a thousand keys, some within the classes and some around them."""
+    customers, name = table(spark, sf, "customer"), F.col("c_name")
+    keys = customers.where("c_custkey % 2 = 1").select(name.alias("class"))
+    keys = keys.union(customers.where("c_custkey % 4 = 0").select(F.concat(F.lit("feed."), name, F.lit(".v1.extra"))))
+    keys = keys.union(customers.select(F.concat(F.lit("v"), (F.col("c_custkey") % 2).cast("string")))).distinct()
+    records = table(spark, sf, "orders").join(customers, F.col("c_custkey") == F.col("o_custkey")).select(
+        "o_orderkey", F.concat(F.lit("feed."), name, F.lit(".v"), (F.col("o_orderkey") % 3).cast("string")).alias("class"))
+    return catalog.match_catalog(records, keys).select("o_orderkey", "class", "catalog_class")
+
+
 @query("a10_default_unmatched", f"SELECT record_id, catalog_class, known, status, effort FROM ({MATCHED_SQL})")
 def a10(spark: SparkSession, sf: str) -> DataFrame:
     return matched(spark, sf).select("record_id", "catalog_class", "known", "status", "effort")
@@ -261,6 +285,19 @@ def a35(spark: SparkSession, sf: str) -> DataFrame:
     return catalog.search_catalog(part_catalog(spark, sf), " Red RING ").select("class", "catalog_name", "exact")
 
 
+@query("a35_suggest_all", f"""
+    WITH texts AS (SELECT DISTINCT upper(p_name) || ' ' AS text FROM part WHERE p_partkey % 40 = 0 UNION SELECT split_part(p_name, ' ', 1) FROM part
+                   UNION SELECT 'no such part')
+    SELECT text, class, catalog_name FROM texts JOIN ({PART_CATALOG_SQL})
+    ON contains(lower(catalog_name), trim(lower(text))) OR (catalog_name <> '' AND contains(trim(lower(text)), lower(catalog_name)))
+""")
+def a35_suggest(spark: SparkSession, sf: str) -> DataFrame:
+    parts, name = table(spark, sf, "part"), F.col("p_name")
+    texts = parts.where("p_partkey % 40 = 0").select(F.concat(F.upper(name), F.lit(" "))).union(parts.select(F.split_part(name, F.lit(" "), F.lit(1))))
+    texts = texts.union(spark.range(1).select(F.lit("no such part")))
+    return catalog.suggest_all(part_catalog(spark, sf), texts)
+
+
 @query("a35_catalog_quality", f"""
     SELECT class, 'error' AS severity, 'missing equivalent' AS message FROM ({PART_CATALOG_SQL}) WHERE equivalent IS NULL
     UNION ALL SELECT class, 'warning', 'missing effort' FROM ({PART_CATALOG_SQL}) WHERE effort IS NULL

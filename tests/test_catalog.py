@@ -17,18 +17,36 @@ def brute(name, keys):
     return min(hits, key=lambda k: (-len(k), k)) if hits else None
 
 
-@pytest.mark.parametrize("inline", [0, 100])
-def test_match_equals_brute_force_on_both_ways(spark, inline):
+@pytest.mark.parametrize("gram", [1, 2, 5])
+def test_match_equals_brute_force(spark, monkeypatch, gram):
+    monkeypatch.setattr(catalog, "GRAM", gram)
     picked = random.Random(3)
     word = lambda n: "".join(picked.choice("ab.") for _ in range(n))
     keys = sorted({word(picked.randrange(1, 6)) for _ in range(30)})
     names = [word(picked.randrange(0, 9)) for _ in range(300)]
     table = spark.createDataFrame([(k,) for k in keys], "class string")
     records = spark.createDataFrame(list(enumerate(names)), "id int, class string")
-    got = catalog.match_catalog(records, table, inline_keys=inline)
+    got = catalog.match_catalog(records, table)
     assert {r["id"]: r["catalog_class"] for r in got.collect()} == {i: brute(n, keys) for i, n in enumerate(names)}
 
 
+def test_contained_pairs(spark):
+    picked = random.Random(8)
+    word = lambda n: "".join(picked.choice("abé") for _ in range(n))
+    hays, needles = {word(picked.randrange(0, 14)) for _ in range(80)}, {word(picked.randrange(0, 9)) for _ in range(80)}
+    one = lambda texts: spark.createDataFrame([(t,) for t in sorted(texts)] + [(None,)], "x string")
+    found = [tuple(r) for r in catalog.contained(one(hays), one(needles)).collect()]
+    assert sorted(found) == sorted((h, n) for h in hays for n in needles if n and n in h)
+    assert catalog.contained(one(hays), one(set())).count() == 0 and catalog.contained(one(set()), one(needles)).count() == 0
+
+
+def test_suggestions_for_many_texts(spark):
+    table = catalog.load_catalog(spark)
+    texts = ["jdbc sink for me", " HTTP ", "nothing at all"]
+    found = {(r.text, r.catalog_name) for r in catalog.suggest_all(table, spark.createDataFrame([(t,) for t in texts], "t string")).collect()}
+    assert found == {(t, r.catalog_name) for t in texts for r in catalog.suggest(table, t).collect()}
+
+
 def test_default_catalog(spark):
     table = catalog.load_catalog(spark)
     assert table.count() == 22
