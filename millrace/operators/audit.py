@@ -311,15 +311,18 @@ def document_verdicts(documents: DataFrame, issues: DataFrame, doc_id: str = "do
     )
 
 
-def validation_summary(verdicts: DataFrame) -> DataFrame:
-    """Totals over all documents; a document with warnings only is also valid."""
+def verdict_counts() -> list[Column]:
     def count(*words: str) -> Column:
         return F.count_if(F.col("verdict").isin(*words))
 
-    return verdicts.agg(
-        F.count(F.lit(1)).alias("total"), count("valid", "valid with warnings").alias("valid"),
-        count("valid with warnings").alias("with_warnings"), count("invalid").alias("with_errors"),
-        F.coalesce(F.bool_and("passed"), F.lit(True)).alias("passed"))
+    return [F.count(F.lit(1)).alias("total"), count("valid", "valid with warnings").alias("valid"),
+            count("valid with warnings").alias("with_warnings"), count("invalid").alias("with_errors"),
+            F.coalesce(F.bool_and("passed"), F.lit(True)).alias("passed")]
+
+
+def validation_summary(verdicts: DataFrame) -> DataFrame:
+    """Totals over all documents; a document with warnings only is also valid."""
+    return verdicts.agg(*verdict_counts())
 
 
 def select_records(heads: DataFrame, names: str | Sequence[str] = (), skip_unsupported: bool = False) -> DataFrame:

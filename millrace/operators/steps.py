@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 
 from millrace.operators.changes import Change, Step, apply
 
@@ -262,15 +262,20 @@ def _names(settings: Mapping[str, str], *keys: str) -> list[str]:
     return [n.strip() for n in text.split(",") if n.strip()]
 
 
-def _insert_settings(s: Mapping[str, str]) -> Step:
-    """All fields that the settings name, in one change."""
+def _insert_settings(s: Mapping[str, str], side: str | None) -> Step:
+    """All fields that the settings name, in one change: on the record, or under ``$Key`` in its key, from the record's columns."""
     put = {s[meta]: F.col(column) for meta, column in (("topic.field", "topic"), ("timestamp.field", "ts"),
                                                        ("offset.field", "offset"), ("partition.field", "partition")) if meta in s}
     if "static.field" in s:
         put[s["static.field"]] = F.lit(s.get("static.value"))
     if not put:
         raise ValueError("InsertField names no field")
-    return lambda df: Change(dict(put))
+    if side != "Key":
+        return lambda df: Change(dict(put))
+    key = F.col("key")
+    for name, value in put.items():
+        key = key.withField(f"`{name}`", value)
+    return lambda df: Change({"key": key})
 
 
 def _flatten_settings(s: Mapping[str, str], side: str | None) -> Step:
@@ -297,8 +302,10 @@ STEP_CLASSES: dict[str, Callable[..., Step]] = {
                                                     shard=s.get("key.field.name", "shard")),
 }
 
-#: Step classes whose suffix decides which side of a record they change.
-SIDED = ("ExtractField", "Flatten")
+#: Step classes that know the sides of a record themselves.
+SIDED = ("ExtractField", "Flatten", "InsertField")
+#: Step classes that change the fields of a record, of its key under ``$Key`` and of its value under ``$Value``.
+FIELD_STEPS = ("TimestampConverter", "ReplaceField", "MaskField", "Cast")
 
 _custom: dict[str, Callable[[DataFrame], DataFrame]] = {}
 
@@ -317,12 +324,50 @@ def custom_step(class_name: str, fn: Callable[[DataFrame], DataFrame]) -> None:
     _custom[class_name] = fn
 
 
+def one_to_many(fn: Callable[[Row], Iterable[tuple]], schema: str, keep: Sequence[str] = ()) -> Callable[[DataFrame], DataFrame]:
+    """A custom step that gives none, one or several records for each, as a Python table function.
+
+    ``fn`` gets a record as a ``Row`` and yields tuples of ``schema``; the new records carry the columns ``keep`` of the old one. It is
+    a lateral join, so it runs on streams too, and a task holds one record's output at a time.
+    """
+
+    class Records:
+        def eval(self, record: Row) -> Iterable[tuple]:
+            yield from fn(record)
+
+    table = F.udtf(Records, returnType=schema)
+    names = [f.name for f in T.StructType.fromDDL(schema).fields]
+
+    def step(df: DataFrame) -> DataFrame:
+        whole = df.select(*[F.col(c).alias(f"_kept_{c}") for c in keep], F.struct(*df.columns).alias("_record"))
+        made = whole.lateralJoin(table(F.col("_record").outer()))
+        return made.select(*[F.col(f"_kept_{c}").alias(c) for c in keep], *names)
+
+    return step
+
+
+def within(df: DataFrame, side: str, step: Step, holds: Column | None = None) -> DataFrame:
+    """Run a step on the fields of the struct column ``side`` instead of those of the record."""
+    kind = df.schema[side].dataType if side in df.columns else None
+    if not isinstance(kind, T.StructType):
+        raise ValueError(f"a step on the {side} needs records whose {side} is a struct")
+    change = step(df.select(f"{side}.*"))
+    rest = [c for c in df.columns if c != side]
+    hit = F.lit(True) if holds is None else F.coalesce(holds, F.lit(False))
+    inner = df.select(F.struct(*rest, hit.alias("_hit"), F.col(side).isNotNull().alias("_there")).alias("_rest"), f"{side}.*")
+    changed = apply(inner, lambda _: change, None if holds is None else F.col("_rest._hit"))
+    fields = [c for c in changed.columns if c != "_rest"]
+    whole = changed.select(*[F.col(f"_rest.{c}").alias(c) for c in rest], F.when(F.col("_rest._there"), F.struct(*fields)).alias(side))
+    return whole.select(*df.columns)
+
+
 def apply_steps(df: DataFrame, steps: Sequence[Mapping],
                 predicates: Mapping[str, Column | str] | None = None) -> DataFrame:
     """Run an ordered chain as one plan.
 
     A step is ``{"class", "settings", "predicate", "negate"}``. A step of unknown class changes nothing and is listed
-    in the column ``_placeholders`` as ``processor-<i>:<class>``, so it is never lost silently.
+    in the column ``_placeholders`` as ``processor-<i>:<class>``, so it is never lost silently. ``$Key`` sends a step to the fields of the
+    struct column ``key``, ``$Value`` to those of ``value`` where records have such a struct, and to the record itself where not.
     """
     unknown = []
     for i, item in enumerate(steps):
@@ -334,11 +379,16 @@ def apply_steps(df: DataFrame, steps: Sequence[Mapping],
             if holds is None:
                 df = _custom[name](df)
             else:
-                df = _custom[name](df.where(holds)).unionByName(df.where(~holds), allowMissingColumns=True)
+                hit = F.coalesce(holds, F.lit(False))
+                df = _custom[name](df.where(hit)).unionByName(df.where(~hit), allowMissingColumns=True)
         elif step_name(name) in STEP_CLASSES:
-            kind, settings = step_name(name), item.get("settings") or {}
-            step = STEP_CLASSES[kind](settings, step_side(name)) if kind in SIDED else STEP_CLASSES[kind](settings)
-            df = apply(df, step, holds)
+            kind, side, settings = step_name(name), step_side(name), item.get("settings") or {}
+            step = STEP_CLASSES[kind](settings, side) if kind in SIDED else STEP_CLASSES[kind](settings)
+            value = side == "Value" and "value" in df.columns and isinstance(df.schema["value"].dataType, T.StructType)
+            if kind in FIELD_STEPS and (side == "Key" or value):
+                df = within(df, side.lower(), step, holds)
+            else:
+                df = apply(df, step, holds)
         else:
             unknown.append(f"processor-{i}:{name}")
     if unknown:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from millrace.functions import values
 
@@ -83,11 +85,27 @@ def direct_share(matched: DataFrame) -> DataFrame:
     return matched.agg(F.coalesce(share, F.lit(0.0)).alias("readiness"))
 
 
+def _outcome_counts() -> list[Column]:
+    ok = F.col("status") == "success"
+    return [F.count(F.lit(1)).alias("total"), _count(ok).alias("successful"), _count(~ok).alias("failed"),
+            _count(ok & (F.col("warnings") > 0)).alias("with_warnings")]
+
+
 def outcome_metrics(outcomes: DataFrame) -> DataFrame:
     """Total, successful, failed and warned records."""
-    ok = F.col("status") == "success"
-    return outcomes.agg(F.count(F.lit(1)).alias("total"), _count(ok).alias("successful"), _count(~ok).alias("failed"),
-                        _count(ok & (F.col("warnings") > 0)).alias("with_warnings"))
+    return outcomes.agg(*_outcome_counts())
+
+
+def write_observed(rows: DataFrame, path: str, metrics: Sequence[Column], mode: str = "errorifexists") -> dict[str, object]:
+    """Write ``rows`` and return the metrics of what was written, counted in the pass that writes it."""
+    seen = Observation()
+    rows.observe(seen, *metrics).write.mode(mode).parquet(path)
+    return seen.get
+
+
+def write_outcomes(outcomes: DataFrame, path: str) -> dict[str, object]:
+    """Write the outcomes and return their metrics without a second scan."""
+    return write_observed(outcomes, path, _outcome_counts())
 
 
 def class_counts(outcomes: DataFrame) -> DataFrame:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
 from millrace.operators import steps
 from millrace.queries import query
@@ -182,6 +184,36 @@ def t9_sides(spark: SparkSession, sf: str) -> DataFrame:
     return steps.apply_steps(_two_sides(spark, sf), chain).select("o_orderkey", "key", "value")
 
 
+@query("t13_steps_on_keys", """
+    SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 0 ELSE o_custkey END AS key_id, o_orderstatus AS key_state, 'k' AS key_origin,
+           CAST(o_orderkey AS VARCHAR) AS value_id, '' AS value_level, o_custkey AS "offset"
+    FROM orders
+""")
+def t13_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """The same step classes on either side: the key is masked under a predicate, and the value's fields of the same name stay."""
+    chain = [{"class": "kafka.MaskField$Key", "settings": {"fields": "id"}, "predicate": "done"},
+             {"class": "kafka.InsertField$Key", "settings": {"static.field": "origin", "static.value": "k"}},
+             {"class": "kafka.MaskField$Value", "settings": {"fields": "level"}},
+             {"class": "kafka.Cast$Value", "settings": {"spec": "id:string"}}]
+    done = steps.apply_steps(_two_sides(spark, sf), chain, {"done": "key.state = 'F'"})
+    return done.select("o_orderkey", F.col("key.id").alias("key_id"), F.col("key.state").alias("key_state"), F.col("key.origin").alias("key_origin"),
+                       F.col("value.id").alias("value_id"), F.col("value.level").alias("value_level"), "offset")
+
+
+@query("t14_one_to_many", """
+    SELECT event_id, i::INT AS part, value / 2 AS value FROM events, unnest(range(CASE event_type WHEN 'purchase' THEN 2 WHEN 'click' THEN 0 ELSE 1 END)) t(i)
+""")
+def t14_many(spark: SparkSession, sf: str) -> DataFrame:
+    """None, one or two records for each, by its type."""
+    steps.custom_step("com.example.Split", steps.one_to_many(split_event, "part int, value double", ["event_id"]))
+    return steps.apply_steps(table(spark, sf, "events"), [{"class": "com.example.Split"}])
+
+
+def split_event(record: Row) -> Iterator[tuple]:
+    for part in range({"purchase": 2, "click": 0}.get(record["event_type"], 1)):
+        yield part, record["value"] / 2
+
+
 @query("t10_flatten_value", """
     SELECT o_orderkey AS value_id, o_orderpriority AS value_level, o_custkey AS id, o_orderstatus AS state FROM orders
 """)

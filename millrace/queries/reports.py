@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from millrace import session
 from millrace.operators import audit, catalog
 from millrace.plans import flow, rollups
 from millrace.queries import query
@@ -161,6 +162,18 @@ def a23(spark: SparkSession, sf: str) -> DataFrame:
     return rollups.outcome_metrics(outcomes(spark, sf))
 
 
+@query("a23_observed_outcomes", f"""
+    SELECT count(*) AS total, count(*) FILTER (status = 'success') AS successful, count(*) FILTER (status = 'failed') AS failed,
+           count(*) FILTER (status = 'success' AND warnings > 0) AS with_warnings, count(DISTINCT record_id) AS written
+    FROM ({OUTCOMES_SQL})
+""")
+def a23_observed(spark: SparkSession, sf: str) -> DataFrame:
+    """The outcomes written, and their metrics from the same pass."""
+    path = session.scratch_path(spark, "outcomes")
+    seen = rollups.write_outcomes(outcomes(spark, sf), path)
+    return spark.read.parquet(path).agg(*[F.lit(v).cast("long").alias(k) for k, v in seen.items()], F.count_distinct("record_id").alias("written"))
+
+
 @query("a23_class_counts", f"SELECT class, count(*) AS n FROM ({DEFS_SQL}) GROUP BY class")
 def a23_classes(spark: SparkSession, sf: str) -> DataFrame:
     return rollups.class_counts(heads(spark, sf))
@@ -293,6 +306,22 @@ def a32(spark: SparkSession, sf: str) -> DataFrame:
     return audit.validation_summary(audit.document_verdicts(pipelines, found, strict=True))
 
 
+@query("a32_observed_verdicts", f"""
+    SELECT count(*) AS total, count(*) FILTER (errors = 0) AS valid, count(*) FILTER (errors = 0 AND warnings > 0) AS with_warnings,
+           count(*) FILTER (errors > 0) AS with_errors, bool_and(errors = 0) AS passed, count(*) FILTER (errors > 0) AS written_invalid
+    FROM (SELECT o_orderkey, count(*) FILTER (severity = 'error') AS errors, count(*) FILTER (severity = 'warning') AS warnings
+          FROM orders LEFT JOIN ({PIPELINE_ISSUES_SQL}) i ON doc_id = o_orderkey GROUP BY o_orderkey)
+""")
+def a32_observed(spark: SparkSession, sf: str) -> DataFrame:
+    """The verdicts written, and their summary from the same pass."""
+    pipelines, path = pipeline_rows(spark, sf), session.scratch_path(spark, "verdicts")
+    issues = audit.collect_issues(audit.check_rules(pipelines, audit.pipeline_rules(strict=True), "doc_id"))
+    seen = rollups.write_observed(audit.document_verdicts(pipelines, issues), path, audit.verdict_counts())
+    kinds = {"passed": "boolean"}
+    return spark.read.parquet(path).agg(*[F.lit(v).cast(kinds.get(k, "long")).alias(k) for k, v in seen.items()],
+                                        F.count_if(F.col("verdict") == "invalid").alias("written_invalid"))
+
+
 @query("a32_document_verdicts", f"""
     SELECT o_orderkey AS doc_id, count(*) FILTER (severity = 'error') AS errors,
            count(*) FILTER (severity = 'warning') AS warnings,

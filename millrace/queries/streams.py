@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from millrace import session
 from millrace.operators import slices, steps
 from millrace.queries import SQL, query
-from millrace.queries.records import CHAIN
+from millrace.queries.records import CHAIN, split_event
 from millrace.queries.tables import event_envelopes, table
 from millrace.sources import capture
 from millrace.streaming import runs, state
@@ -58,3 +58,9 @@ def t13_stream(spark: SparkSession, sf: str) -> DataFrame:
     rows = df.select("seq", "user_id", "event_type", "value", "__deleted", "origin",
                      F.col("_placeholders")[0].alias("placeholder"))
     return runs.to_files(rows, session.scratch_path(spark, "t13-stream"))
+
+
+@query("t14_one_to_many_stream", SQL["t14_one_to_many"])
+def t14_stream(spark: SparkSession, sf: str) -> DataFrame:
+    rows = steps.one_to_many(split_event, "part int, value double", ["event_id"])(event_stream(spark, sf))
+    return runs.to_files(rows, session.scratch_path(spark, "t14-stream"))

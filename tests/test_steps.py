@@ -126,3 +126,53 @@ def test_sides_and_several_fields(spark):
     assert dict(steps.cast_fields(df, "x:int32,offset:float64").dtypes)["x"] == "int"
     moment = spark.createDataFrame([("2024-01-01 01:00:01",)], "at string")
     assert steps.convert_timestamp(moment, "at", "time").first()["at"] == 3_601_000
+
+
+SIDES = "id int, ssn string, key struct<ssn:string,n:int,at:string>, value struct<ssn:string,n:int,at:string>, hit boolean"
+BOTH = [(1, "top", ("k1", 5, "2024-01-02"), ("v1", 6, "2024-01-03"), True), (2, "top", ("k2", 7, "2024-01-02"), None, False),
+        (3, "top", None, ("v3", 8, "2024-01-03"), None)]
+
+
+@pytest.mark.parametrize("side", ["key", "value"])
+@pytest.mark.parametrize("name, settings, expected", [
+    ("MaskField", {"fields": "ssn"}, {"ssn": "", "n": 5, "at": "2024-01-02"}),
+    ("ReplaceField", {"exclude": "n"}, {"ssn": "k1", "at": "2024-01-02"}),
+    ("ReplaceField", {"include": "ssn"}, {"ssn": "k1"}),
+    ("ReplaceField", {"renames": "n:m"}, {"ssn": "k1", "m": 5, "at": "2024-01-02"}),
+    ("InsertField", {"static.field": "x", "static.value": "1"}, {"ssn": "k1", "n": 5, "at": "2024-01-02", "x": "1"}),
+    ("Cast", {"spec": "n:string"}, {"ssn": "k1", "n": "5", "at": "2024-01-02"}),
+    ("TimestampConverter", {"field": "at", "target.type": "string", "format": "yyyy-MM-dd"}, {"ssn": "k1", "n": 5, "at": "2024-01-02"}),
+])
+def test_field_steps_stay_on_their_side(spark, side, name, settings, expected):
+    df = spark.createDataFrame(BOTH, SIDES)
+    if side == "value" and name == "InsertField":
+        return  # sets fields of the record, see above
+    if side == "value":
+        expected = {k: {"k1": "v1", 5: 6, "5": "6", "2024-01-02": "2024-01-03"}.get(v, v) for k, v in expected.items()}
+    out = steps.apply_steps(df, [{"class": f"o.a.k.{name}${side.title()}", "settings": settings}])
+    row = out.where("id = 1").first()
+    assert row[side].asDict() == expected
+    other = "value" if side == "key" else "key"
+    assert rows(out.select("id", "ssn", other)) == rows(df.select("id", "ssn", other)) and set(out.columns) == set(df.columns)
+
+
+def test_a_side_under_a_predicate(spark):
+    out = steps.apply_steps(spark.createDataFrame(BOTH, SIDES), [
+        {"class": "MaskField$Key", "settings": {"fields": "ssn"}, "predicate": "p"}], {"p": "hit"})
+    assert {r.id: r.key and r.key.ssn for r in out.collect()}[1] == "" and {r.id: r.key.ssn for r in out.where("id = 2").collect()} == {2: "k2"}
+    with pytest.raises(ValueError, match="struct"):
+        steps.apply_steps(spark.createDataFrame([(1, "a")], "id int, key string"), [{"class": "MaskField$Key", "settings": {"fields": "id"}}])
+
+
+def test_one_to_many(spark):
+    def words(record):
+        for i, word in enumerate((record["text"] or "").split()):
+            yield i, word
+
+    df = spark.createDataFrame([(1, "a b", "x"), (2, "", "x"), (3, None, "y"), (4, "c", None)], "id int, text string, kind string")
+    step = steps.one_to_many(words, "place int, word string", ["id"])
+    assert rows(step(df)) == [(1, 0, "a"), (1, 1, "b"), (4, 0, "c")]
+    steps.custom_step("my.Words", step)
+    out = steps.apply_steps(df, [{"class": "my.Words", "predicate": "p"}], {"p": "kind = 'x'"})
+    assert {(r.id, r.word, r.text) for r in out.collect()} == {(1, "a", None), (1, "b", None), (3, None, None), (4, None, "c")}
+    assert step(df.limit(0)).count() == 0
