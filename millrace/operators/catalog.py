@@ -62,22 +62,25 @@ def _pieces(text: Column, size: Column) -> Column:
         F.sequence(F.lit(1), F.length(text) - size + 1), lambda i: F.substr(text, i, size))))
 
 
-def contained(hays: DataFrame, needles: DataFrame) -> DataFrame:
-    """(hay, needle): all pairs of a text of ``hays`` and a text of ``needles`` within it; both have one column of distinct texts.
+def containing(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(left, right): all pairs of a text of either side where one contains the other; both have one column of distinct texts.
 
-    An inverted index: each hay is listed under its pieces of ``GRAM`` characters, each needle is looked up under the one of its own pieces that the
-    fewest hays have (a shorter needle is a piece itself), and what meets there is compared. A needle with a piece that no hay has is
-    out at once. Joins are equal joins on pieces, whatever the number of texts on either side.
+    An inverted index: each text is listed under its pieces of ``GRAM`` characters, and is looked up on the other side under the one of its
+    own pieces that the fewest texts there have (a shorter text is a piece itself); what meets is compared. A text with a piece that the other
+    side lacks is within none. Joins are equal joins on pieces, whatever the number of texts.
     """
-    hays, needles = hays.toDF("hay").where("hay <> ''"), needles.toDF("needle").where("needle <> ''")
-    size = F.least(F.length("needle"), F.lit(GRAM))
-    sizes = needles.select(size.alias("size")).distinct().agg(F.collect_set("size")).scalar()  # GRAM numbers at most
-    listed = hays.select("hay", F.explode(sizes).alias("size")).select("hay", F.explode(_pieces(F.col("hay"), F.col("size"))).alias("piece"))
-    frequency = listed.groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
-    own = needles.select("needle", F.explode(_pieces(F.col("needle"), size)).alias("piece")).join(frequency, "piece", "left")
-    rarest = own.groupBy("needle").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "piece")).alias("least")).where("least.n > 0")
-    met = listed.join(rarest.select("needle", F.col("least.piece").alias("piece")), "piece")
-    return met.where(F.contains("hay", "needle")).select("hay", "needle")
+    texts = left.toDF("text").withColumn("side", F.lit(0)).unionByName(right.toDF("text").withColumn("side", F.lit(1))).where("text <> ''")
+    size = F.least(F.length("text"), F.lit(GRAM))
+    sizes = texts.select(size.alias("size")).distinct().agg(F.collect_set("size")).scalar()  # GRAM numbers at most
+    listed = texts.select("text", "side", F.explode(sizes).alias("size")).select(
+        F.col("text").alias("hay"), "side", F.explode(_pieces(F.col("text"), F.col("size"))).alias("piece"))
+    frequency = listed.groupBy((1 - F.col("side")).alias("side"), "piece").agg(F.count(F.lit(1)).alias("n"))
+    own = texts.select("text", "side", F.explode(_pieces(F.col("text"), size)).alias("piece")).join(frequency, ["side", "piece"], "left")
+    rarest = own.groupBy("text", "side").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "piece")).alias("least")).where("least.n > 0")
+    met = listed.join(rarest.select(F.col("text").alias("needle"), (1 - F.col("side")).alias("side"), F.col("least.piece").alias("piece")), ["side", "piece"])
+    in_left = F.col("side") == 0
+    return met.where(F.contains("hay", "needle")).select(
+        F.when(in_left, F.col("hay")).otherwise(F.col("needle")).alias("left"), F.when(in_left, F.col("needle")).otherwise(F.col("hay")).alias("right"))
 
 
 def match_classes(classes: DataFrame, catalog: DataFrame) -> DataFrame:
@@ -85,8 +88,8 @@ def match_classes(classes: DataFrame, catalog: DataFrame) -> DataFrame:
 
     An equal key wins. Otherwise either text contains the other; the longest key wins, then the alphabetical first.
     """
-    keys, names = catalog.select(F.col("class").alias("key")).distinct(), classes.select("class").distinct()
-    found = contained(names, keys).toDF("class", "key").unionByName(contained(keys, names).toDF("key", "class"))
+    keys, names = catalog.select(F.col("class").alias("key")).distinct(), session.written(classes.select("class").distinct(), "classes")
+    found = containing(names, keys).toDF("class", "key")
     best = F.min(F.struct(F.col("class") != F.col("key"), -F.length("key"), F.col("key").alias("key"))).alias("best")
     return found.groupBy("class").agg(best).select("class", "best.key")
 
@@ -172,7 +175,7 @@ def suggest_all(catalog: DataFrame, texts: DataFrame) -> DataFrame:
     wanted = texts.toDF("text").distinct().withColumn("_wanted", F.lower(F.trim("text")))
     named = catalog.select("class", "catalog_name", F.lower("catalog_name").alias("_name"))
     searched, names = wanted.select("_wanted").distinct(), named.select("_name").distinct()
-    pairs = contained(names, searched).toDF("_name", "_wanted").unionByName(contained(searched, names).toDF("_wanted", "_name")).distinct()
+    pairs = containing(names, searched).toDF("_name", "_wanted").distinct()
     return wanted.join(pairs, "_wanted").join(named, "_name").select("text", "class", "catalog_name")
 
 

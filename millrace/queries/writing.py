@@ -100,11 +100,11 @@ def w5_target(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stored_customers(spark: SparkSession, sf: str) -> str:
-    """Customers as a stored table of slices of 50 keys; its path."""
+    """Customers as a stored table of slices of 500 keys; its path."""
     path = session.scratch_path(spark, "w5-slices")
     target = table(spark, sf, "customer").select(
         F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("event_type"), F.col("c_acctbal").alias("value"))
-    slices.create(target, path, ["user_id"], "ts timestamp_ntz, seq bigint", F.floor(F.col("user_id") / 50))
+    slices.create(target, path, ["user_id"], "ts timestamp_ntz, seq bigint", F.floor(F.col("user_id") / 500))
     return path
 
 
@@ -123,7 +123,7 @@ def w5_slices(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("w5_replaced_slices", """
-    SELECT c_custkey // 50 AS slice, bool_or(user_id IS NOT NULL) AS replaced, count(DISTINCT c_custkey)::BIGINT AS n
+    SELECT c_custkey // 500 AS slice, bool_or(user_id IS NOT NULL) AS replaced, count(DISTINCT c_custkey)::BIGINT AS n
     FROM customer LEFT JOIN (SELECT DISTINCT user_id FROM events WHERE user_id % 7 = 0) ON user_id = c_custkey GROUP BY 1
 """)
 def w5_replaced(spark: SparkSession, sf: str) -> DataFrame:
