@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, DataFrameWriter, functions as F
+from pyspark.sql import Column, DataFrame, DataFrameWriter, functions as F, types as T
 
 from millrace.operators import skew
 from millrace.sources import capture
@@ -57,6 +57,42 @@ def cluster_layout(df: DataFrame, part_cols: str | Sequence[str], cluster_cols:
     return df.repartitionByRange(*lead, *spread).sortWithinPartitions(*lead)
 
 
+def _as_number(df: DataFrame, name: str) -> Column:
+    """A column as a double in the same order; of text, its first six bytes."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.StringType):
+        head = F.rpad(F.hex(F.substring(F.col(name).cast("binary"), 1, 6)), 12, "0")
+        return F.conv(head, 16, 10).cast("double")
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(F.col(name).cast("timestamp")).cast("double")
+    return F.col(name).cast("double")
+
+
+def interleaved_layout(df: DataFrame, columns: str | Sequence[str], partitions: int, bits: int = 6) -> DataFrame:
+    """W13 over several columns: files that are narrow in each of them, so that a filter on any one skips most files.
+
+    Each column is ranked into ``2 ** bits`` parts of about equally many rows, by quantiles of one aggregate over all columns; the bits of the
+    ranks take turns in one number (a Z-order curve) that rows are range partitioned and sorted by. Nulls come first. A content
+    hash behind the number splits values that hold very many rows.
+    """
+    names = _listed(columns)
+    shares = [k / (1 << bits) for k in range(1, 1 << bits)]
+    cuts = df.agg(*[F.percentile_approx(_as_number(df, n), shares, 10_000).alias(n) for n in names]).first()
+    # A rank is the number of cuts up to the value, so values that hold several cuts leave ranks out and stay in order.
+    def rank_of(name: str) -> Column:
+        value = _as_number(df, name)
+        return F.size(F.filter(F.lit(list(cuts[name] or [])).cast("array<double>"), lambda cut: cut <= value))
+
+    ranks = {f"_rank{k}": rank_of(n) for k, n in enumerate(names)}
+    z = F.lit(0).cast("long")
+    for bit in range(bits):
+        for place, rank in enumerate(ranks):
+            z = z.bitwiseOR(F.shiftleft(F.shiftright(F.col(rank).cast("long"), bit).bitwiseAND(F.lit(1)), bit * len(names) + place))
+    content = [f.name for f in df.schema.fields if not skew.has_map(f.dataType)]
+    ranged = df.withColumns(ranks).withColumn("_z", z).repartitionByRange(partitions, "_z", F.xxhash64(*content))
+    return ranged.sortWithinPartitions("_z", *names).drop("_z", *ranks)
+
+
 def bucketed_writer(df: DataFrame, buckets: int, keys: str | Sequence[str],
                     cluster_cols: str | Sequence[str] = ()) -> DataFrameWriter:
     """W13 for tables: ``saveAsTable`` keeps rows hashed by ``keys``, so later joins on them need no shuffle."""

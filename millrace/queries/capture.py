@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import itertools
+from collections.abc import Iterator
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from millrace import session
 from millrace.queries import query
 from millrace.queries.tables import event_records, table
-from millrace.sources import capture
+from millrace.sources import capture, tail
 from millrace.streaming import runs
 
 SINCE = datetime(2024, 1, 10)
@@ -100,6 +102,37 @@ def s7(spark: SparkSession, sf: str) -> DataFrame:
     return runs.to_files(rows, session.scratch_path(spark, "s7"))
 
 
+def _write_lines(folder: str):
+    def write(rows: Iterator[Row]) -> None:
+        """One file of lines for each ``file`` of a partition; written again with more lines it has grown."""
+        fs, root = tail.open_folder(folder)
+        for name, lines in itertools.groupby(rows, lambda r: r.file):
+            with fs.open_output_stream(f"{root}/{name}.log") as out:
+                for row in lines:
+                    out.write(row.line.encode() + b"\n")
+
+    return write
+
+
+@query("s7_tail_growing_files", """
+    SELECT event_id, event_type, value, 'file' || (event_id % 4) AS file, 1::BIGINT AS times FROM events
+""")
+def s7_tail(spark: SparkSession, sf: str) -> DataFrame:
+    """``events`` as lines of four files that grow between two runs of one stream: every line appears once."""
+    folder, out = session.scratch_path(spark, "growing"), session.scratch_path(spark, "s7-tail")
+    events = table(spark, sf, "events")
+    lines = events.select("event_id", F.concat(F.lit("file"), (F.col("event_id") % 4).cast("string")).alias("file"),
+                          F.to_json(F.struct("event_id", "event_type", "value")).alias("line"))
+    tail.make_folder(folder)
+    middle = events.agg(F.avg("event_id")).first()[0] or 0
+    for part in (lines.where(F.col("event_id") <= middle), lines):
+        part.repartition(4, "file").sortWithinPartitions("file", "event_id").foreachPartition(_write_lines(folder))
+        found = runs.to_files(tail.follow(spark, folder, max_range_bytes=1 << 16), out)
+    parsed = found.select(F.from_json("value", "event_id bigint, event_type string, value double").alias("e"),
+                          F.regexp_extract("path", r"([^/]+)\.log$", 1).alias("file"))
+    return parsed.groupBy("e.event_id", "e.event_type", "e.value", "file").agg(F.count(F.lit(1)).alias("times"))
+
+
 @query("s8_read_query", """
     SELECT l_returnflag, count(*) AS n, round(sum(l_quantity), 2) AS quantity
     FROM lineitem WHERE l_discount > 0.05 GROUP BY l_returnflag

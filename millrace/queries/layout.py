@@ -60,6 +60,26 @@ def w13(spark: SparkSession, sf: str) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.min("l_shipdate").alias("first_ship"))
 
 
+@query("w13_interleaved_layout", """
+    SELECT 'l_partkey' AS filtered, count(*) AS n, true AS few_files FROM lineitem WHERE l_partkey BETWEEN 100 AND 150
+    UNION ALL SELECT 'l_shipdate', count(*), true FROM lineitem WHERE l_shipdate >= TIMESTAMP '2001-01-01'
+    UNION ALL SELECT 'l_quantity', count(*), true FROM lineitem WHERE l_quantity > 48
+    UNION ALL SELECT 'all', count(*), false FROM lineitem
+""")
+def w13_interleaved(spark: SparkSession, sf: str) -> DataFrame:
+    """A filter on each of three columns finds its rows in less than three fifths of the files."""
+    path = session.scratch_path(spark, "w13-z")
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_shipdate", "l_quantity")
+    layout.interleaved_layout(rows, "l_partkey,l_shipdate,l_quantity", 64).write.parquet(path)
+    stored = spark.read.parquet(path).withColumn("file", F.col("_metadata.file_path"))
+    filters = {"l_partkey": F.col("l_partkey").between(100, 150), "l_shipdate": F.col("l_shipdate") >= F.lit("2001-01-01").cast("timestamp_ntz"),
+               "l_quantity": F.col("l_quantity") > 48, "all": F.lit(True)}
+    # A reader skips a file by its smallest and greatest value of the column.
+    tested = F.explode(F.array(*[F.struct(F.lit(n).alias("filtered"), hit.alias("hit")) for n, hit in filters.items()]))
+    per_file = stored.select("file", tested.alias("t")).groupBy("file", "t.filtered").agg(F.count_if("t.hit").alias("n"))
+    return per_file.groupBy("filtered").agg(F.sum("n").alias("n"), (F.count_if(F.col("n") > 0) < 0.6 * F.count(F.lit(1))).alias("few_files"))
+
+
 @query("w14_write_disposition", """
     SELECT c_custkey, c_name FROM customer UNION ALL SELECT c_custkey, c_name FROM customer
 """)

@@ -151,3 +151,19 @@ def test_path_format_quotings():
 def test_avro_is_refused():
     with pytest.raises(ValueError, match="not available"):
         layout.choose_format("io.example.AvroFormat")
+
+
+def test_interleaved_files_are_narrow_in_each_column(spark, tmp_path):
+    df = spark.range(20_000).select(
+        (F.col("id") * 7919 % 1000).cast("int").alias("a"), F.concat(F.lit("n"), F.lpad((F.col("id") * 104_729 % 900).cast("string"), 4, "0")).alias("b"),
+        F.when(F.col("id") % 3 != 0, F.timestamp_micros(F.col("id") * 15_485_863 % 1_000_000)).alias("c"), "id")
+    path = str(tmp_path / "z")
+    layout.interleaved_layout(df, ["a", "b", "c"], 64).write.parquet(path)
+    stored = spark.read.parquet(path).withColumn("file", F.col("_metadata.file_path"))
+    assert rows(stored.drop("file")) == rows(df)
+    total = stored.select("file").distinct().count()
+    for hit in (F.col("a").between(10, 30), F.col("b") > "n0880", F.col("c") < F.timestamp_micros(F.lit(20_000)), F.col("c").isNull()):
+        assert stored.where(hit).select("file").distinct().count() < 0.6 * total
+    assert layout.interleaved_layout(df.limit(0), "a,b", 4).count() == 0
+    one = layout.interleaved_layout(spark.range(5000).select(F.lit(1).alias("a"), "id"), "a", 8)  # one value in many files
+    assert one.select(F.spark_partition_id().alias("p")).distinct().count() == 8
