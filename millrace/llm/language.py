@@ -35,10 +35,15 @@ ROWS = 1 << 19
 HASHES = 4
 BLOCK = 1 << 20
 
-_letter = re.compile(r"[^\W\d_]")
+#: Letters, and the number signs that the class of word characters holds too.
+_maybe_letter = re.compile(r"[^\W\d_]")
 _fold = np.where(LETTERS > 0, LOWER, np.uint8(0x20)).astype(np.uint8)
 
 
+def has_letter(text: str | None) -> bool:
+    return any(found[0].isalpha() for found in _maybe_letter.finditer(text or ""))
+
+
 def grams(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(index of the text, n-gram) in blocks. Bytes that aren't letters are spaces, two more stand before and after a text."""
     data, bounds = flat(texts)
@@ -88,7 +93,7 @@ class Model:
         best = corrected.argmax(1)
         top = corrected[np.arange(n), best]
         score = np.clip(top / np.maximum(total, 1), 0, 1)
-        words = [bool(t) and _letter.search(t) is not None for t in texts.to_pylist()]
+        words = [has_letter(t) for t in texts.to_pylist()]
         names = [UNKNOWN if not w else self.fallback if not s else self.languages[b] for w, s, b in zip(words, top, best)]
         return names, np.where(words, score, 0.0)
 

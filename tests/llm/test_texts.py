@@ -146,6 +146,8 @@ def test_language(spark, docs, none):
     assert {r.lang_pred for r in found if r.doc_id in (5, 6, 7)} == {"und"}
     assert {r.lang_pred for r in language.predicted(docs, language.train(none), "doc_id").collect()} == {"und"}
     assert language.predicted(none, language.train(docs), "doc_id").count() == 0
+    signs = spark.createDataFrame([(1, "½ ² ③ Ⅷ _ 7"), (2, "½ é")], "doc_id long, text string")
+    assert {r.doc_id: r.lang_pred == "und" for r in language.predicted(signs, language.train(docs), "doc_id").collect()} == {1: True, 2: False}
 
 
 def test_toxicity(spark, docs, none):
