@@ -80,8 +80,10 @@ def interleaved_layout(df: DataFrame, columns: str | Sequence[str], partitions:
     cuts = df.agg(*[F.percentile_approx(_as_number(df, n), shares, 10_000).alias(n) for n in names]).first()
     # A rank is the number of cuts up to the value, so values that hold several cuts leave ranks out and stay in order.
     def rank_of(name: str) -> Column:
-        value = _as_number(df, name)
-        return F.size(F.filter(F.lit(list(cuts[name] or [])).cast("array<double>"), lambda cut: cut <= value))
+        value, rank = _as_number(df, name), F.when(F.lit(False), 0)
+        for number, cut in sorted(((k + 1, cut) for k, cut in enumerate(cuts[name] or [])), reverse=True):
+            rank = rank.when(value >= cut, number)
+        return rank.otherwise(0)
 
     ranks = {f"_rank{k}": rank_of(n) for k, n in enumerate(names)}
     z = F.lit(0).cast("long")
