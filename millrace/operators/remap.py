@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.functions import maps, setting_rules, text
+from millrace.session import written
 
 RULES = ("kind string, precedence int, target string, source string, default_value string, required boolean, secret string, value_map string, "
          "form string, part string, conditions array<struct<key:string,test:string,value:string>>")
@@ -130,7 +131,8 @@ def remap_settings(records: DataFrame, rules: DataFrame | None = None, value_map
     spark = records.sparkSession
     rules = default_rules(spark) if rules is None else rules
     value_maps = default_value_maps(spark) if value_maps is None else value_maps
-    entries = setting_entries(records, kind, settings)
+    # Written once: the addresses are parsed once, and four joins read it.
+    entries = written(setting_entries(records, kind, settings), "entries")
     # A rule for ``headers.*`` takes all settings of that prefix: a key is also looked up by its first part.
     first_part = F.concat(F.split_part("key", F.lit("."), F.lit(1)), F.lit(".*"))
     lookups = entries.withColumn("source", F.explode(F.when(F.contains("key", F.lit(".")), F.array("key", first_part)).otherwise(F.array("key"))))
