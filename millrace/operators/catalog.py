@@ -52,8 +52,10 @@ def load_capabilities(spark: SparkSession) -> DataFrame:
 
 # --- A9, A10 -----------------------------------------------------------------------------------------------
 
-#: Length of the pieces that texts are looked up by.
+#: Length of the pieces that texts are looked up by; texts of 2, 4 or 8 times that length have pieces of that many times the length.
 GRAM = 5
+#: Characters of listed pieces from which on both sides are shuffled: of a list of pieces Spark's statistics know the texts' files only.
+SHUFFLED_PIECES = 1 << 18
 
 
 def _pieces(text: Column, size: Column) -> Column:
@@ -67,17 +69,21 @@ def containing(left: DataFrame, right: DataFrame) -> DataFrame:
 
     An inverted index: each text is listed under its pieces of ``GRAM`` characters, and is looked up on the other side under the one of its
     own pieces that the fewest texts there have (a shorter text is a piece itself); what meets is compared. A text with a piece that the other
-    side lacks is within none. Joins are equal joins on pieces, whatever the number of texts.
+    side lacks is within none. Longer texts have longer pieces, so that the texts of a piece stay few as texts become many. Joins are equal
+    joins on pieces, whatever the number of texts, and none broadcasts a long list of pieces.
     """
     texts = left.toDF("text").withColumn("side", F.lit(0)).unionByName(right.toDF("text").withColumn("side", F.lit(1))).where("text <> ''")
-    size = F.least(F.length("text"), F.lit(GRAM))
-    sizes = texts.select(size.alias("size")).distinct().agg(F.collect_set("size")).scalar()  # GRAM numbers at most
+    size = F.greatest(F.least(F.length("text"), F.lit(GRAM)), *[F.when(F.length("text") >= GRAM * k, GRAM * k) for k in (2, 4, 8)])
+    found, chars = texts.agg(F.collect_set(size), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()  # GRAM and three numbers at most
+    sizes = F.array(*[F.lit(n) for n in found]).cast("array<int>")
+    shuffled = lambda df: df.hint("merge") if chars * len(found) > SHUFFLED_PIECES else df
     listed = texts.select("text", "side", F.explode(sizes).alias("size")).select(
         F.col("text").alias("hay"), "side", F.explode(_pieces(F.col("text"), F.col("size"))).alias("piece"))
     frequency = listed.groupBy((1 - F.col("side")).alias("side"), "piece").agg(F.count(F.lit(1)).alias("n"))
-    own = texts.select("text", "side", F.explode(_pieces(F.col("text"), size)).alias("piece")).join(frequency, ["side", "piece"], "left")
+    own = texts.select("text", "side", F.explode(_pieces(F.col("text"), size)).alias("piece")).join(shuffled(frequency), ["side", "piece"], "left")
     rarest = own.groupBy("text", "side").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "piece")).alias("least")).where("least.n > 0")
-    met = listed.join(rarest.select(F.col("text").alias("needle"), (1 - F.col("side")).alias("side"), F.col("least.piece").alias("piece")), ["side", "piece"])
+    needles = rarest.select(F.col("text").alias("needle"), (1 - F.col("side")).alias("side"), F.col("least.piece").alias("piece"))
+    met = listed.join(shuffled(needles), ["side", "piece"])
     in_left = F.col("side") == 0
     return met.where(F.contains("hay", "needle")).select(
         F.when(in_left, F.col("hay")).otherwise(F.col("needle")).alias("left"), F.when(in_left, F.col("needle")).otherwise(F.col("hay")).alias("right"))
@@ -97,16 +103,16 @@ def match_classes(classes: DataFrame, catalog: DataFrame) -> DataFrame:
 def match_catalog(records: DataFrame, catalog: DataFrame) -> DataFrame:
     """Add the catalog columns to each record by its ``class``; ``catalog_class`` is null without a match.
 
-    Only distinct classes are compared. Their matches are written once, so a small table of them is broadcast and, where a large one meets the
-    records by a shuffle, AQE splits the partition of a very common class. Of catalog rows that repeat a class the least by all its
-    attributes counts.
+    Only distinct classes are compared. Their matches are written once, so a bounded count tells whether they are broadcast; where a large table
+    of them meets the records by a shuffle, AQE splits the partition of a very common class. Of catalog rows that repeat a class the least by
+    all its attributes counts.
     """
     rest = [c for c in catalog.columns if c != "class"]
     attributes = catalog.groupBy(F.col("class").alias("catalog_class"))
     attributes = attributes.agg(F.min(F.struct(*rest)).alias("_row")).select("catalog_class", "_row.*") if rest else attributes.agg(
         F.count(F.lit(1)).alias("_n")).drop("_n")
-    matched = match_classes(records, catalog).withColumnRenamed("key", "catalog_class").join(attributes, "catalog_class")
-    return skew.lookup(records, session.written(matched, "matches"), ["class"], "left")
+    matched = match_classes(records, catalog).withColumnRenamed("key", "catalog_class").join(attributes.hint("merge"), "catalog_class")
+    return skew.lookup(records, skew.bounded(session.written(matched, "matches")), ["class"], "left")
 
 
 def default_unmatched(matched: DataFrame) -> DataFrame:

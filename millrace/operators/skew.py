@@ -78,6 +78,14 @@ def is_small(table: DataFrame) -> bool:
     return rows <= SMALL_ROWS and chars <= SMALL_CHARS
 
 
+def bounded(table: DataFrame) -> DataFrame:
+    """``table`` marked for a broadcast where a bounded count shows it to be small, else for a shuffle.
+
+    For tables whose files or statistics say little about their rows in memory.
+    """
+    return F.broadcast(table) if is_small(table) else table.hint("merge")
+
+
 def lookup(big: DataFrame, table: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
     """Join with a reference table, the same lazy plan for every size, so it also holds on a stream.
 

@@ -5,8 +5,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from millrace import session
 from millrace.functions import text
-from millrace.operators import audit, catalog
+from millrace.operators import audit, catalog, skew
 from tests.conftest import rows
 
 
@@ -41,6 +42,23 @@ def test_contained_pairs(spark):
     assert catalog.containing(one(hays), one(set())).count() == 0 and catalog.containing(one(set()), one(needles)).count() == 0
 
 
+def test_long_lists_of_pieces_are_not_broadcast(spark):
+    """Texts that are small as files have many pieces."""
+    hays = session.written(spark.range(9_000).select(F.format_string("feed.Customer#%09d.v1", "id").alias("x")), "hays")
+    needles = session.written(spark.range(0, 9_000, 2).select(F.format_string("Customer#%09d", "id").alias("x")), "needles")
+    found = catalog.containing(hays, needles)
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.where("contains(left, right)").count() == found.count() == 4_500
+
+
+def test_long_lists_of_matches_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(skew, "SMALL_ROWS", 2)
+    records = spark.createDataFrame([(i, f"ring{i % 3}") for i in range(9)], "id int, class string")
+    matched = catalog.match_catalog(records, spark.createDataFrame([("ring",)], "class string"))
+    assert "BroadcastHashJoin" not in matched._jdf.queryExecution().executedPlan().toString()
+    assert {r["catalog_class"] for r in matched.collect()} == {"ring"}
+
+
 def test_suggestions_for_many_texts(spark):
     table = catalog.load_catalog(spark)
     texts = ["jdbc sink for me", " HTTP ", "nothing at all"]
