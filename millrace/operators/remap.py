@@ -2,9 +2,10 @@
 
 The settings of all records are one long table (record_id, kind, key, value). It meets the rules on (kind, source key), a translated value is
 found by a second join with the value maps, and of all that a record offers for a target the one of the smallest precedence is taken by
-a partial aggregate. Rules are rows, so a caller adds, replaces or reorders them like any other data.
+an aggregate. Rules are rows, so a caller adds, replaces or reorders them like any other data; rules and value maps that a bounded count
+shows to be small are broadcast, and then only the offered values are shuffled, once.
 
-Conditions on other settings are rare: only rows under a condition meet a narrow table of the settings that conditions name.
+Conditions on other settings are rare: a setting carries those settings of its record that the conditions of its kind name.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.functions import maps, setting_rules, text
-from millrace.session import written
+from millrace.operators import skew
 
 RULES = ("kind string, precedence int, target string, source string, default_value string, required boolean, secret string, value_map string, "
          "form string, part string, conditions array<struct<key:string,test:string,value:string>>")
@@ -62,8 +63,8 @@ def rule_kind(class_name: Column) -> Column:
         F.when(F.forall(F.array(*[F.lit(p) for p in parts]), lambda p: F.contains(name, p)), kind) for kind, parts, _ in setting_rules.KINDS])
 
 
-def setting_entries(records: DataFrame, kind: str = "kind", settings: str = "settings") -> DataFrame:
-    """record_id, kind, key, value of all filled settings, the parts of ``connection.url`` and a ``mongodb.uri`` put together from its parts."""
+def _found_settings(kind: str, settings: str) -> Column:
+    """Array of (key, value): the settings of a record, the parts of ``connection.url`` and a ``mongodb.uri`` put together from its parts."""
     s = F.col(settings)
     parts = ("protocol", "host", "port", "database", "user", "password")
 
@@ -81,9 +82,13 @@ def setting_entries(records: DataFrame, kind: str = "kind", settings: str = "set
                    F.coalesce(F.concat(F.lit("/?authSource="), filled("mongodb.authsource")), F.lit("")))
     derived = F.concat(F.when(F.startswith(s["connection.url"], F.lit("jdbc:")), F.coalesce(from_url(s["connection.url"]), none)).otherwise(none),
                        F.array(F.struct(F.lit("mongodb.uri").alias("key"), uri.alias("value"))))
-    entries = records.where(F.col(kind).isNotNull()).select(
-        "record_id", F.col(kind).alias("kind"), F.explode(F.concat(F.map_entries(s), derived)).alias("e"))
-    return entries.select("record_id", "kind", "e.*").where("value <> ''")
+    return F.filter(F.concat(F.coalesce(F.map_entries(s), none), derived), lambda e: e["value"] != "")
+
+
+def _known(rules: DataFrame) -> DataFrame:
+    """kind, asked: the keys that the conditions of a kind's rules name."""
+    asked = rules.select("kind", F.explode("conditions").alias("c"))
+    return asked.groupBy("kind").agg(F.collect_set("c.key").alias("asked"))
 
 
 def _holds(found: Column, conditions: Column) -> Column:
@@ -94,31 +99,16 @@ def _holds(found: Column, conditions: Column) -> Column:
         .when(c["test"] == "=", value(c) == c["value"]).otherwise(F.contains(value(c), c["value"])), F.lit(False)))
 
 
-def _under_conditions(rows: DataFrame, entries: DataFrame, rules: DataFrame) -> DataFrame:
-    """``rows`` without those whose conditions fail."""
-    asked = rules.select("kind", F.explode("conditions").alias("c")).select("kind", F.col("c.key").alias("key")).distinct()
-    # A record has at most as many of these as its kind's conditions name keys.
-    known = entries.join(asked, ["kind", "key"]).groupBy("record_id").agg(
-        maps.last_wins(F.collect_list(F.struct("key", "value"))).alias("_known"))
-    free = rows.where(F.size("conditions") == 0)
-    bound = rows.where(F.size("conditions") > 0).join(known, "record_id", "left")
-    held = bound.where(_holds(F.coalesce("_known", F.create_map().cast("map<string,string>")), F.col("conditions")))
-    return free.unionByName(held.drop("_known"))
-
-
 def _translated(rows: DataFrame, value_maps: DataFrame) -> DataFrame:
     """Values put through their value map: the first pattern that fits; its null drops the row, and a value that nothing fits stays."""
-    plain = rows.where("value_map is null")
-    patterns = value_maps.select("value_map", F.struct("place", "test", "pattern", "result").alias("m"))
-    fits = F.when(F.col("m.test") == "=", F.col("value") == F.col("m.pattern")).otherwise(
-        F.contains(F.lower("value"), F.lower("m.pattern")))
-    keys = ["record_id", "target", "precedence", "value"]
-    mapped = rows.where("value_map is not null").join(patterns, "value_map", "left")
-    # Of the few patterns of a map the first that fits: a row per value again, by a partial aggregate.
-    best = mapped.groupBy(*keys, *[c for c in rows.columns if c not in keys]).agg(
-        F.min(F.when(fits, F.struct("m.place", "m.result"))).alias("m"))
-    done = best.where(F.col("m").isNull() | F.col("m.result").isNotNull()).withColumn("value", F.coalesce("m.result", "value")).drop("m")
-    return plain.unionByName(done.select(plain.columns))
+    patterns = value_maps.where("value_map is not null").groupBy("value_map").agg(
+        F.sort_array(F.collect_list(F.struct("place", "test", "pattern", "result"))).alias("_patterns"))
+    offered = F.col("source").isNotNull()
+    fits = F.filter("_patterns", lambda m: F.when(m["test"] == "=", F.col("value") == m["pattern"]).otherwise(
+        F.contains(F.lower("value"), F.lower(m["pattern"]))))
+    mapped = rows.join(skew.bounded(patterns), "value_map", "left").withColumn("_fit", F.when(offered, F.get(fits, F.lit(0)))).drop("_patterns")
+    kept = mapped.where(F.col("_fit").isNull() | F.col("_fit.result").isNotNull())
+    return kept.withColumn("value", F.coalesce("_fit.result", "value")).drop("_fit")
 
 
 def remap_settings(records: DataFrame, rules: DataFrame | None = None, value_maps: DataFrame | None = None, kind: str = "kind",
@@ -131,37 +121,47 @@ def remap_settings(records: DataFrame, rules: DataFrame | None = None, value_map
     spark = records.sparkSession
     rules = default_rules(spark) if rules is None else rules
     value_maps = default_value_maps(spark) if value_maps is None else value_maps
-    # Written once: the addresses are parsed once, and four joins read it.
-    entries = written(setting_entries(records, kind, settings), "entries")
+    # Defaults, and targets that must have a value, are rules without a source; the one they name is the first one of the target.
+    named = rules.groupBy("kind", "target").agg(F.min_by("source", "precedence").alias("named"))
+    usable = skew.bounded(rules.where("source is not null or default_value is not null or required").join(named, ["kind", "target"]))
+
+    # Behind ``inline``, so that the addresses are parsed once. One more entry without a key meets the rules without a source.
+    found = records.where(F.col(kind).isNotNull()).select(
+        "record_id", F.col(kind).alias("kind"), F.inline(F.array(F.struct(_found_settings(kind, settings).alias("found")))))
+    asked = found.join(skew.bounded(_known(rules)), "kind", "left")
+    known = F.filter("found", lambda e: F.array_contains(F.col("asked"), e["key"]))
+    none = F.create_map().cast("map<string,string>")
+    entries = asked.withColumn("known", F.coalesce(maps.last_wins(known), none)).select("record_id", "kind", "known", F.explode(
+        F.concat("found", F.array(F.lit(None).cast("struct<key:string,value:string>")))).alias("e"))
     # A rule for ``headers.*`` takes all settings of that prefix: a key is also looked up by its first part.
-    first_part = F.concat(F.split_part("key", F.lit("."), F.lit(1)), F.lit(".*"))
-    lookups = entries.withColumn("source", F.explode(F.when(F.contains("key", F.lit(".")), F.array("key", first_part)).otherwise(F.array("key"))))
-    offered = lookups.join(rules.where("source is not null"), ["kind", "source"])
+    first_part = F.concat(F.split_part("e.key", F.lit("."), F.lit(1)), F.lit(".*"))
+    lookups = entries.select("record_id", "kind", "known", "e.key", "e.value", F.explode(
+        F.when(F.contains("e.key", F.lit(".")), F.array("e.key", first_part)).otherwise(F.array("e.key"))).alias("looked_up"))
+    met = lookups.join(usable.withColumnRenamed("kind", "_kind"), (F.col("kind") == F.col("_kind")) & F.col("looked_up").eqNullSafe(F.col("source")))
+    met = met.where((F.size("conditions") == 0) | _holds(F.col("known"), F.col("conditions"))).drop("known", "conditions")
+
+    offered = F.col("source").isNotNull()
     rest = F.substr("key", F.length("source"))
     target = F.when(F.endswith("source", F.lit("*")), F.replace("target", F.lit("*"), rest)).otherwise(F.col("target"))
     part = (
-        F.when(F.col("part") == "first", maps.trimmed(F.split_part("value", F.lit(","), F.lit(1))))
+        F.when(~offered, F.col("default_value"))
+        .when(F.col("part") == "first", maps.trimmed(F.split_part("value", F.lit(","), F.lit(1))))
         .when(F.col("part") == "before", F.when(F.contains("value", F.lit(":")), F.split_part("value", F.lit(":"), F.lit(1))))
         .when(F.col("part") == "after", maps.filled(F.regexp_extract("value", r"(?s)^[^:]*:(.*)$", 1)))
         .otherwise(F.col("value"))
     )
-    columns = ["record_id", "kind", "target", "precedence", "value", "source", "required", "secret", "value_map", "form", "conditions"]
-    offered = offered.withColumns({"target": target, "value": part}).withColumn("source", F.col("key")).where("value is not null").select(columns)
-    offered = _translated(_under_conditions(offered, entries, rules), value_maps)
+    met = met.withColumns({"target": target, "value": part}).where(~offered | F.col("value").isNotNull())
+    met = _translated(met, value_maps)
     shown = F.when(F.col("secret").isNull(), F.col("value")).otherwise(text.masked(F.col("secret"), F.col("value")))
-    offered = offered.withColumn("value", F.replace("form", F.lit("{}"), shown))
-
-    # Defaults, and targets that must have a value; the source named is the first one of the rule.
-    named = rules.groupBy("kind", "target").agg(F.min_by("source", "precedence").alias("source"))
-    fallback = rules.where("source is null and (default_value is not null or required)").drop("source").join(named, ["kind", "target"])
-    everyone = records.where(F.col(kind).isNotNull()).select("record_id", F.col(kind).alias("kind"))
-    fallback = everyone.join(fallback, "kind").withColumn("value", F.col("default_value")).select(columns)
-    fallback = _under_conditions(fallback, entries, rules)
+    met = met.withColumn("value", F.when(offered, F.replace("form", F.lit("{}"), shown)).otherwise(F.col("value")))
+    source = F.when(offered, F.col("key")).otherwise(F.col("named"))
     best = F.struct((F.col("value").isNull()).alias("unmet"), "precedence", "value", F.when(
-        F.col("value").isNull() | (F.col("precedence") < LAST), F.col("source")).alias("source"))
+        F.col("value").isNull() | (F.col("precedence") < LAST), source).alias("source"))
+    # The rows are dealt before they are compared: a comparison of texts sorts, and sorted parts of a large shuffle stay small.
+    dealt = met.select("record_id", "kind", "target", best.alias("best"), "required").repartition("record_id", "kind", "target")
     return (
-        offered.select(columns).unionByName(fallback).groupBy("record_id", "kind", "target")
-        .agg(F.min(best).alias("best"), F.max("required").alias("required"))
+        dealt.groupBy("record_id", "kind", "target")
+        .agg(F.min("best").alias("best"), F.max("required").alias("required"))
         .where("best.value is not null or required")
         .select("record_id", "kind", "target", "best.value", "best.source", "required")
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -132,3 +134,23 @@ def test_nothing_to_remap(spark):
     odd = spark.createDataFrame([("r", "gcs", None), (None, "gcs", {"gcs.bucket.name": "b"}), ("s", None, {"a": "b"})], empty.schema)
     assert {(r.record_id, r.target, r.value) for r in remap.remap_settings(odd).collect()} == {
         ("r", "bucket", None), ("r", "format", "json"), (None, "bucket", "b"), (None, "format", "json")}
+
+
+def test_rules_are_broadcast_and_entries_are_not_shuffled(spark):
+    """Settings share few keys, so a shuffle by key would deal most of a table to a few tasks."""
+    records = spark.createDataFrame([(str(i), "jdbc-sink", {"connection.url": "jdbc:postgresql://h/d", "topics": "t"}) for i in range(9)],
+                                    "record_id string, kind string, settings map<string,string>")
+    done = remap.remap_settings(records)
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"hashpartitioning\(kind#\d+, source#", plan) and "BroadcastHashJoin" in plan
+    assert {(r.record_id, r.value) for r in done.where("target = 'host'").collect()} == {(str(i), "h") for i in range(9)}
+
+
+def test_rules_too_many_to_broadcast_give_the_same(spark, monkeypatch):
+    records = spark.createDataFrame([("a", "jdbc-source", {"mode": "timestamp", "timestamp.column.name": "t", "poll.interval.ms": "5"}), ("b", "jdbc-sink", {}),
+                                     ("c", "none", {"topics": "t"})], "record_id string, kind string, settings map<string,string>")
+    small = {tuple(r) for r in remap.remap_settings(records).collect()}
+    monkeypatch.setattr("millrace.operators.skew.SMALL_ROWS", 0)
+    many = remap.remap_settings(records)
+    assert "BroadcastHashJoin" not in many._jdf.queryExecution().executedPlan().toString()
+    assert {tuple(r) for r in many.collect()} == small and ("a", "jdbc-source", "timestamp.column", "t", "timestamp.column.name", False) in small
