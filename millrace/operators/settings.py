@@ -57,10 +57,18 @@ def find_sensitive_keys(entries: DataFrame) -> DataFrame:
     return entries.where(text.is_sensitive(F.col("key")))
 
 
+def _hidden(key: Column, value: Column) -> Column:
+    return F.when(text.is_sensitive(key), text.masked(key, value)).otherwise(value)
+
+
 def mask_secrets(entries: DataFrame) -> DataFrame:
     """Values of sensitive keys become placeholders; ``${...}`` references stay."""
-    hidden = text.masked(F.col("key"), F.col("value"))
-    return entries.withColumn("value", F.when(text.is_sensitive(F.col("key")), hidden).otherwise(F.col("value")))
+    return entries.withColumn("value", _hidden(F.col("key"), F.col("value")))
+
+
+def mask_settings(records: DataFrame, settings: str = "settings") -> DataFrame:
+    """A26 on the settings of whole records, without a row per setting."""
+    return records.withColumn(settings, F.transform_values(settings, _hidden))
 
 
 # --- A36 ---------------------------------------------------------------------------------------------------
