@@ -16,13 +16,19 @@ from millrace.streaming import runs, state
 BATCHES = 4
 
 
+#: Bytes of a row group of these files: a micro-batch is one file, and tasks share it by row groups.
+ROW_GROUP = 4 << 20
+
+
 def event_stream(spark: SparkSession, sf: str) -> DataFrame:
     """``events`` as four files in the order of time, which a stream reads as four micro-batches."""
     path, events = session.scratch_path(spark, "events"), table(spark, sf, "events")
     first, last = events.agg(F.min("event_id"), F.max("event_id")).first()
-    for k in range(BATCHES):
-        place = F.floor((F.col("event_id") - first) * BATCHES / ((last or 0) - (first or 0) + 1))
-        events.where(place == k).coalesce(1).write.mode("append").parquet(path)
+    first, span = first or 0, (last or 0) - (first or 0) + 1
+    starts = [first - (-k * span // BATCHES) for k in range(BATCHES + 1)]
+    for low, high in zip(starts, starts[1:]):
+        batch = events.where((F.col("event_id") >= low) & (F.col("event_id") < high))  # bounds that skip the other row groups
+        batch.coalesce(1).write.mode("append").option("parquet.block.size", ROW_GROUP).parquet(path)
     return capture.read_files(spark, path, "parquet", events.schema, tail=True, **capture.source_pace(max_files=1))
 
 

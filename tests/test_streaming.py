@@ -138,3 +138,23 @@ def test_dead_letters_on_a_stream(spark, folder, tmp_path):
 
     got = runs.to_files(tagged(stream(spark, folder)), str(tmp_path / "out"))
     assert rows(got) == rows(tagged(spark.read.parquet(folder)))
+
+
+def test_a_micro_batch_is_shared_by_row_groups(spark, tmp_path, monkeypatch):
+    import pyarrow.parquet as pq
+
+    from millrace import queries, session
+
+    queries.load_all()
+    from millrace.queries import streams
+
+    monkeypatch.setattr(streams, "ROW_GROUP", 16 << 10, raising=False)
+    monkeypatch.setattr(session, "scratch_path", lambda *_: f"{tmp_path}/out")
+    spark.range(5, 40_006).selectExpr("id event_id", "id * 7 % 1000 user_id", "cast(xxhash64(id) as string) props").write.parquet(
+        f"{tmp_path}/events.parquet")
+    streams.event_stream(spark, str(tmp_path))
+    files = [pq.ParquetFile(f) for f in (tmp_path / "out").glob("*.parquet")]
+    assert min(f.num_row_groups for f in files) > 1
+    ids = sorted((min(x), max(x), len(x)) for x in (f.read(["event_id"])["event_id"].to_pylist() for f in files))
+    place = lambda i: (i - 5) * 4 // 40_001
+    assert sum(n for *_, n in ids) == 40_001 and [(place(a), place(b)) for a, b, _ in ids] == [(k, k) for k in range(4)]
