@@ -39,22 +39,12 @@ BLOCK_SCHEMA = ("part int, block int, dictionary string, doc_ids array<long>, n_
                 "frames binary")
 
 
-def _byte_signs() -> dict[int, str]:
-    """The character that stands for each byte in a byte-level vocabulary: itself where it is printable, else the next from 256."""
-    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [b for b in range(256) if b not in printable]
-    return {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
-
-
-_BYTE_SIGNS = _byte_signs()
-
-
 class Encoder:
     """``Tokenizer.encode`` without special tokens, with the ids of words kept between texts.
 
     The vocabulary splits a text into pieces before it merges bytes. A space between two other characters always begins a piece, and a
     single line end between two is a piece of its own, so such a text may be encoded word by word and each distinct word once.
-    A word of letters is one piece and goes straight to the merges; any other word is encoded as a text of its own. Texts with
+    A word of letters is one piece, so new ones are encoded in one text; any other word is a text of its own. Texts with
     other white space, with white space beside white space or at an end, or with the mark below are encoded whole.
     """
 
@@ -68,7 +58,10 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(file)
         self.tokenizer.encode_special_tokens = True
-        self.merge = self.tokenizer.model.tokenize
+        vocabulary = self.tokenizer.get_vocab()
+        #: The ids that begin with a space, whose sign in the vocabulary is Ġ.
+        self.spaced = np.zeros(max(vocabulary.values()) + 1, np.bool_)
+        self.spaced[[k for token, k in vocabulary.items() if token.startswith("Ġ")]] = True
         self.forget()
 
     def forget(self) -> None:
@@ -80,38 +73,65 @@ class Encoder:
     def plain(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def keep(self, keys: list[str], ids: list) -> None:
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        first, total = len(self.known), int(sizes.sum())
+    def keep(self, keys: list[str], sizes: np.ndarray, ids: np.ndarray) -> None:
+        """Keep the words ``keys``: how many ids each has, and the ids of all."""
+        first, total = len(self.known), len(ids)
         while len(self.ids) < self.used + total:
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         while len(self.start) < first + len(keys):
             self.start, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.size))
-        self.ids[self.used:self.used + total] = np.fromiter(chain.from_iterable(ids), np.uint32, total)
+        self.ids[self.used:self.used + total] = ids
         self.start[first:first + len(keys)] = self.used + np.cumsum(sizes) - sizes
         self.size[first:first + len(keys)] = sizes
         self.used += total
         self.known.update(zip(keys, range(first, first + len(keys))))
 
-    def of(self, key: str) -> list[int]:
-        at = self.known[key]
-        return self.ids[self.start[at]:self.start[at] + self.size[at]].tolist()
+    def of(self, at: np.ndarray) -> np.ndarray:
+        """The ids of the known words with the numbers ``at``, one word after the other."""
+        size = self.size[at]
+        ends = np.cumsum(size)
+        return self.ids[np.repeat(self.start[at] - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
+
+    def learn_letters(self, keys: list[str]) -> None:
+        """Words of letters, each after a space: one text whose pieces are the words, in one call."""
+        ids = np.array(self.plain([" " + " ".join(keys)])[0], np.uint32)
+        first = np.flatnonzero(self.spaced[ids])
+        if len(first) != len(keys):
+            raise ValueError("the vocabulary doesn't part words at each space")
+        self.keep(keys, np.diff(np.append(first, len(ids))), ids)
 
-    def word(self, key: str) -> list[int]:
+    def learn_words(self, keys: list[str]) -> None:
         """A key is a word after a space; marked, a word at the start of a line; a line end stands for itself."""
-        piece = key if key == "\n" else key[1:] if key[:1] == self._mark else " " + key
-        if self._letters.match(key, key[:1] == self._mark):
-            return [t.id for t in self.merge(piece.encode().decode("latin-1").translate(_BYTE_SIGNS))]
-        return self.plain([piece])[0]
+        ids = self.plain([k if k == "\n" else k[1:] if k[:1] == self._mark else " " + k for k in keys])
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        self.keep(keys, sizes, np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())))
+
+    def learn_ended(self, keys: list[str]) -> None:
+        """A sign after a letter is a piece of its own and one byte, so such a word is its stem's ids and the sign's."""
+        signs = {s: self.plain([s])[0][0] for s in {k[-1] for k in keys}}
+        at = np.fromiter((self.known[k[:-1]] for k in keys), np.int64, len(keys))
+        sizes = self.size[at] + 1
+        ids, last = np.empty(int(sizes.sum()), np.uint32), np.zeros(int(sizes.sum()), np.bool_)
+        last[np.cumsum(sizes) - 1] = True
+        ids[last], ids[~last] = np.fromiter((signs[k[-1]] for k in keys), np.uint32, len(keys)), self.of(at)
+        self.keep(keys, sizes, ids)
 
     def learn(self, keys: set[str]) -> None:
-        """A sign after a letter is a piece of its own, so such a word is its stem's ids and the sign's."""
-        whole_text = {k for k in keys if k != "\n" and (k in ("", self._mark) or self._white.search(k))}
-        ended = [k for k in keys - whole_text if self._ended.search(k)]
-        words = list((keys.difference(ended, whole_text) | {k[:-1] for k in ended}) - self.known.keys())
-        self.keep(words, [self.word(k) for k in words])
-        signs = {s: self.plain([s])[0] for s in {k[-1] for k in ended}}
-        self.keep(ended, [self.of(k[:-1]) + signs[k[-1]] for k in ended])
+        letters, ended, others = set(), [], set()
+        for k in keys:
+            if self._letters.match(k):
+                letters.add(k)
+            elif self._ended.search(k):
+                if not self._white.search(k):
+                    ended.append(k)
+                    (letters if self._letters.match(k[:-1]) else others).add(k[:-1])
+            elif k == "\n" or k not in ("", self._mark) and not self._white.search(k):
+                others.add(k)
+        for words, learn in ((letters, self.learn_letters), (others, self.learn_words)):
+            if words := list(words - self.known.keys()):
+                learn(words)
+        if ended:
+            self.learn_ended(ended)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.known) > KNOWN_WORDS:
@@ -128,9 +148,7 @@ class Encoder:
         odd |= np.fromiter((self._mark in t for t in texts), np.bool_, len(texts))
         whole = iter(self.plain([t for t, o in zip(texts, odd) if o]))
         size = np.where(at < 0, 0, self.size[at])
-        ends = np.cumsum(size)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.ids[np.repeat(self.start[at] - ends + size, size) + np.arange(total)]
+        ends, ids = np.cumsum(size), self.of(at[at >= 0])
         bounds = np.concatenate([[0], ends])[bounds]
         return [np.array(next(whole), np.uint32) if o else ids[bounds[k]:bounds[k + 1]] for k, o in enumerate(odd)]
 
