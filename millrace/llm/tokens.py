@@ -16,9 +16,11 @@ import re
 import zlib
 from collections.abc import Callable, Iterator
 from itertools import chain, repeat
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
@@ -33,20 +35,28 @@ SAMPLE_BYTES = 1 << 14
 BLOCK_BYTES = 1 << 20
 #: Words whose ids a worker keeps.
 KNOWN_WORDS = 1_500_000
+#: New words that are encoded in a call: what the library keeps of their text stays in the processor's cache.
+LEARNED_WORDS = 1 << 10
+MERGED_WORDS = 1 << 7
 LEVEL = 3
 
 BLOCK_SCHEMA = ("part int, block int, dictionary string, doc_ids array<long>, n_tokens array<long>, ends array<long>, "
                 "frames binary")
 
 
-def _byte_signs() -> dict[int, str]:
+def _byte_signs() -> np.ndarray:
     """The character that stands for each byte in a byte-level vocabulary: itself where it is printable, else the next from 256."""
+    signs = np.zeros(256, np.uint32)
     printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [b for b in range(256) if b not in printable]
-    return {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
+    signs[printable] = printable
+    others = np.flatnonzero(signs == 0)
+    signs[others] = 256 + np.arange(len(others))
+    return signs
 
 
 _BYTE_SIGNS = _byte_signs()
+_SIGNS = ".,!?;:"
+_id = attrgetter("id")
 
 
 class Encoder:
@@ -54,12 +64,12 @@ class Encoder:
 
     The vocabulary splits a text into pieces before it merges bytes. A space between two other characters always begins a piece, and a
     single line end between two is a piece of its own, so such a text may be encoded word by word and each distinct word once.
-    A word of letters is one piece and goes straight to the merges; any other word is encoded as a text of its own. Texts with
-    other white space, with white space beside white space or at an end, or with the mark below are encoded whole.
+    Distinct words are found by Arrow. New ones of letters are one piece each and go straight to the merges, others are encoded many in a
+    call, joined by spaces; both are cut at the ids that begin with a space. Words at the start of a line are joined by line ends. Texts
+    with other white space, with white space beside white space or at an end, or with the mark below are encoded whole.
     """
 
     _mark = "\x00"
-    _ended = re.compile(r"[A-Za-z][.,!?;:]\Z")
     _letters = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+\Z")
     _white = re.compile(r"\s")
 
@@ -68,7 +78,14 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(file)
         self.tokenizer.encode_special_tokens = True
+        self.line = self.tokenizer.token_to_id("\u010a")
         self.merge = self.tokenizer.model.tokenize
+        vocabulary = self.tokenizer.get_vocab()
+        self.spaced = np.zeros(1 + max(vocabulary.values()), np.bool_)
+        self.spaced[[n for t, n in vocabulary.items() if t[0] == "\u0120"]] = True
+        #: No id of letters' bytes has a space after another sign, so merges never join two words of letters.
+        letters = {"\u0120", *map(chr, _BYTE_SIGNS[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0xC0), 0xC3]])}
+        self.apart = not any("\u0120" in t.lstrip("\u0120") and letters.issuperset(t) for t in vocabulary)
         self.forget()
 
     def forget(self) -> None:
@@ -80,50 +97,89 @@ class Encoder:
     def plain(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def keep(self, keys: list[str], ids: list) -> None:
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        first, total = len(self.known), int(sizes.sum())
+    def keep(self, keys: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        first, total = len(self.known), len(ids)
         while len(self.ids) < self.used + total:
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         while len(self.start) < first + len(keys):
             self.start, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.size))
-        self.ids[self.used:self.used + total] = np.fromiter(chain.from_iterable(ids), np.uint32, total)
+        self.ids[self.used:self.used + total] = ids
         self.start[first:first + len(keys)] = self.used + np.cumsum(sizes) - sizes
         self.size[first:first + len(keys)] = sizes
         self.used += total
         self.known.update(zip(keys, range(first, first + len(keys))))
 
-    def of(self, key: str) -> list[int]:
-        at = self.known[key]
-        return self.ids[self.start[at]:self.start[at] + self.size[at]].tolist()
-
-    def word(self, key: str) -> list[int]:
-        """A key is a word after a space; marked, a word at the start of a line; a line end stands for itself."""
-        piece = key if key == "\n" else key[1:] if key[:1] == self._mark else " " + key
-        if self._letters.match(key, key[:1] == self._mark):
-            return [t.id for t in self.merge(piece.encode().decode("latin-1").translate(_BYTE_SIGNS))]
-        return self.plain([piece])[0]
-
-    def learn(self, keys: set[str]) -> None:
-        """A sign after a letter is a piece of its own, so such a word is its stem's ids and the sign's."""
-        whole_text = {k for k in keys if k != "\n" and (k in ("", self._mark) or self._white.search(k))}
-        ended = [k for k in keys - whole_text if self._ended.search(k)]
-        words = list((keys.difference(ended, whole_text) | {k[:-1] for k in ended}) - self.known.keys())
-        self.keep(words, [self.word(k) for k in words])
-        signs = {s: self.plain([s])[0] for s in {k[-1] for k in ended}}
-        self.keep(ended, [self.of(k[:-1]) + signs[k[-1]] for k in ended])
+    def many(self, words: list[str], after: str) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words that each stand after ``after``, a space or a line end, and how many each has."""
+        ids = np.array(self.plain([(after if after == " " else "") + after.join(words)])[0], np.uint32)
+        if after == " ":
+            first = np.flatnonzero(self.spaced[ids])
+            sizes = np.diff(np.append(first, len(ids)))
+        else:
+            ends = np.flatnonzero(np.append(ids == self.line, True))
+            sizes = np.diff(np.append(-1, ends)) - 1
+            ids = ids[ids != self.line]
+        if len(sizes) != len(words):
+            alone = self.plain([after + w if after == " " else w for w in words])
+            ids, sizes = np.array(list(chain.from_iterable(alone)), np.uint32), np.array(list(map(len, alone)), np.int64)
+        return ids, sizes
+
+    def merged(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``many`` after spaces, for words of letters: one piece each, so many go to the merges in one call, which never join them."""
+        found = []
+        for at in range(0, len(words), MERGED_WORDS):
+            data = np.frombuffer((" " + " ".join(words[at:at + MERGED_WORDS])).encode(), np.uint8)
+            found += map(_id, self.merge(_BYTE_SIGNS[data].tobytes().decode("utf-32-le")))
+        ids = np.array(found, np.uint32)
+        return ids, np.diff(np.append(np.flatnonzero(self.spaced[ids]), len(ids)))
+
+    def learn(self, keys: list[str]) -> None:
+        """A key is a word after a space; marked, a word at the start of a line; a line end stands for itself.
+
+        A sign after a letter is a piece of its own, so such a word is its stem's ids and the sign's.
+        """
+        known = [k for k in keys if k not in ("", "\n", self._mark) and not self._white.search(k)]
+        letters, ended, others, lines = [], [], [], []
+        for k in known:
+            if k[0] == self._mark:
+                lines.append(k)
+            elif not self.apart:
+                others.append(k)
+            elif self._letters.match(k):
+                letters.append(k)
+            elif k[-1] in _SIGNS and self._letters.match(k, 0, len(k) - 1):
+                ended.append(k)
+            else:
+                others.append(k)
+        if letters:
+            self.keep(letters, *self.merged(letters))
+        if ended:
+            ids, sizes = self.merged([k[:-1] for k in ended])
+            signs = {s: self.plain([s])[0][0] for s in _SIGNS}
+            self.keep(ended, np.insert(ids, np.cumsum(sizes), [signs[k[-1]] for k in ended]), sizes + 1)
+        for after, own in ((" ", others), ("\n", lines)):
+            for at in range(0, len(own), LEARNED_WORDS):
+                part = own[at:at + LEARNED_WORDS]
+                self.keep(part, *self.many(part if after == " " else [k[1:] for k in part], after))
+        if "\n" in keys:
+            self.keep(["\n"], np.array([self.line], np.uint32), np.ones(1, np.int64))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.known) > KNOWN_WORDS:
             self.forget()
-        split = [(self._mark + t.replace("\n", " \n " + self._mark)).split(" ") for t in texts]
-        keys = list(chain.from_iterable(split))
+        if not texts:
+            return []
+        marked = [self._mark + t.replace("\n", " \n " + self._mark) for t in texts]
+        split = pc.split_pattern(pa.array(marked, pa.large_string()), " ")
+        bounds = split.offsets.to_numpy().astype(np.int64)
+        words = split.flatten().dictionary_encode()
+        keys = words.dictionary.to_pylist()
         at = np.fromiter(map(self.known.get, keys, repeat(-1)), np.int64, len(keys))
         unknown = np.flatnonzero(at < 0)
         if len(unknown):
-            self.learn({keys[k] for k in unknown})
+            self.learn([keys[k] for k in unknown])
             at[unknown] = [self.known.get(keys[k], -1) for k in unknown]
-        bounds = np.cumsum([0, *map(len, split)])
+        at = at[words.indices.to_numpy()]
         odd = np.diff(np.concatenate([[0], np.cumsum(at < 0)])[bounds]) > 0
         odd |= np.fromiter((self._mark in t for t in texts), np.bool_, len(texts))
         whole = iter(self.plain([t for t, o in zip(texts, odd) if o]))

@@ -185,3 +185,20 @@ def test_pipeline_of_odd_rows(spark):
     for name, stage in corpus_pipeline.STAGES:
         empty = quality.saved(stage(spark, empty, SF), "stage")
     assert empty.count() == 0
+
+
+def test_new_words_are_encoded_many_in_a_call():
+    """Words of letters go to the merges and others to the tokenizer in bulk, with the ids that each text has by itself."""
+    encoder = tokens.Encoder(queries.tokenizer_file())
+    words = prose(91, 600).split(" ")
+    ends = ["", ".", ",", "!!", "à", "é,", "ß;", "7", "文", "&&&", "...", "'s", "Ġ", "<|endoftext|>", "İ", "​"]
+    texts = [" ".join(w + ends[(k + n) % len(ends)] for n, w in enumerate(words[k:k + 40])) + "\n" + words[k] + ends[k % len(ends)]
+             for k in range(500)]
+    texts += ["", "à à", "x\ny", "x \n y", " x", "x y à ", "x\x00y", "\n", "x\x1cy"]
+    calls = []
+    plain, merge = encoder.plain, encoder.merge
+    encoder.plain = lambda own: calls.append(len(own)) or plain(own)
+    encoder.merge = lambda own: calls.append(1) or merge(own)
+    for _ in range(2):
+        assert [ids.tolist() for ids in encoder.encode(texts)] == plain(texts)
+    assert len(calls) < len(encoder.known) / 10
