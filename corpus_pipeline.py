@@ -8,6 +8,10 @@ from millrace.llm import decontaminate, jaccard, mixing, quality, queries, token
 from millrace.session import scratch_path
 
 
+#: Words whose ids a worker keeps: the stages before have grown the executors' heaps, so fewer than op9 keeps by itself.
+KNOWN_WORDS = 150_000
+
+
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that importance resampling keeps. Rows without an id stay or go as the empty id is drawn."""
     kept = quality.resampled(docs, quality.target_text(docs, queries.table(spark, sf_dir, "labels")))
@@ -39,7 +43,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of all rows, written and read back."""
     path = scratch_path(spark, "tokens")
-    tokens.write_tokens(docs, path, queries.tokenizer_file())
+    tokens.write_tokens(docs, path, queries.tokenizer_file(), known_words=KNOWN_WORDS)
     return tokens.read_tokens(spark, path)
 
 

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.llm.store import column, slices
+from millrace.llm.store import column, frugal, slices
 from millrace.llm.text import mix
 
 Q = 8
@@ -208,5 +208,5 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long"), "text")
     found = docs.sparkSession.createDataFrame([], MATCHES)
     for items in blocks(benchmark):
-        found = found.unionByName(rows.mapInArrow(_matcher(items), MATCHES))
+        found = found.unionByName(rows.mapInArrow(frugal(_matcher(items)), MATCHES))
     return found

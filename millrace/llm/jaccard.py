@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.llm.components import components
-from millrace.llm.store import column, saved, slices, texts_of
+from millrace.llm.store import column, frugal, saved, slices, texts_of
 from millrace.llm.text import SIMILAR, flat, mix, shared, shingle_set, similar, words
 
 MIN_HASHES = 4
@@ -133,7 +133,7 @@ def commonness(scanned: DataFrame) -> np.ndarray:
     """How common each bin of shingles is over all documents, on a scale of 256 steps; a megabyte whatever the corpus."""
     counts = scanned.where("part is not null").select("part", "counts").repartition(PARTS, "part")
     total = np.zeros((PARTS, BINS // PARTS), np.int64)
-    for row in counts.mapInArrow(_sum_counts, "part int, counts binary").collect():
+    for row in counts.mapInArrow(frugal(_sum_counts), "part int, counts binary").collect():
         total[row.part] += np.frombuffer(zlib.decompress(bytes(row.counts)), np.int64)
     return np.minimum(255, np.round(4 * np.log2(total.reshape(-1) + 1))).astype(np.uint8)
 
@@ -169,7 +169,7 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     texts = texts_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
     both = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b").join(
         texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-    return saved(both.select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a long, b long").distinct(), "verified")
+    return saved(both.select("a", "b", "text_a", "text_b").mapInArrow(frugal(_verify), "a long, b long").distinct(), "verified")
 
 
 def starred(classes: DataFrame) -> DataFrame:
@@ -205,7 +205,7 @@ def token_marks(tokens: DataFrame) -> np.ndarray:
     bits = min(MOST_BITS, max(16, (8 * tokens.count()).bit_length()))
     part = F.col("token").bitwiseAND((1 << bits) - 1) / F.lit((1 << bits) // PARTS)
     marks = np.zeros((PARTS, (1 << bits) // PARTS // 8), np.uint8)
-    for row in tokens.repartition(PARTS, F.floor(part)).mapInArrow(_marker(bits), "part int, marks binary").toLocalIterator():
+    for row in tokens.repartition(PARTS, F.floor(part)).mapInArrow(frugal(_marker(bits)), "part int, marks binary").toLocalIterator():
         marks[row.part] |= np.frombuffer(bytes(row.marks), np.uint8)
     return marks.reshape(-1)
 
@@ -238,7 +238,7 @@ def tile_pairs(prefixes: DataFrame) -> DataFrame:
     ends = every.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     open_tiles = saved(ends.where("low < high").select("token"), "open_tiles")
     tokens = prefixes.select("node", "component", "n", "tokens").mapInArrow(
-        _marked_tokens(token_marks(open_tiles)), "node long, component long, n int, token long, at int")
+        frugal(_marked_tokens(token_marks(open_tiles))), "node long, component long, n int, token long, at int")
     tiles = saved(tokens.join(open_tiles, "token", "left_semi"), "tiles")
     x, y = (tiles.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "component", "n", "at")]) for s in "xy")
     n_x, n_y = F.col("n_x"), F.col("n_y")
@@ -256,7 +256,7 @@ def tile_pairs(prefixes: DataFrame) -> DataFrame:
 def joined(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, class_id (the smallest id with the same set) of every row of ``docs`` (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long"), "text")
-    scanned = saved(docs.mapInArrow(_scan, SCANNED), "shingles")
+    scanned = saved(docs.mapInArrow(frugal(_scan), SCANNED), "shingles")
     rows = scanned.where("part is null")
     held = rows.where("n > 0 and doc_id is not null")
     classes = saved(held.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"),
@@ -266,7 +266,7 @@ def joined(docs: DataFrame) -> DataFrame:
     ties = own.join(own.groupBy("doc_id").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("many")).where("many > 1"), "doc_id")
     links = verified(docs, starred(classes)).unionByName(ties.select("a", F.col("node").alias("b")))
     early = saved(components(links), "early")
-    prefixes = docs.mapInArrow(_prefixer(commonness(scanned)), "digest binary, tokens array<long>, bits array<long>")
+    prefixes = docs.mapInArrow(frugal(_prefixer(commonness(scanned))), "digest binary, tokens array<long>, bits array<long>")
     prefixes = prefixes.groupBy("digest").agg(F.first("tokens").alias("tokens"), F.first("bits").alias("bits"))
     marked = classes.select("digest", "node", "n").join(early, "node", "left").select(
         "digest", "node", "n", F.coalesce("component", "node").alias("component"))

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.llm.store import column, saved, slices
+from millrace.llm.store import column, frugal, saved, slices
 from millrace.llm.text import SAME, WORD_OR_SIGN, flat, mix, words
 
 #: Counted bins of hashed n-grams. The models hold so many numbers each, whatever the corpus.
@@ -72,7 +72,7 @@ def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def bin_counts(docs: DataFrame) -> np.ndarray:
     """How often each bin occurs in all texts: summed per task, then per part of the bins; ``BINS`` numbers come to the driver."""
     schema = "part int, counts binary"
-    summed = docs.select("text").mapInArrow(_count, schema).repartition(PARTS, "part").mapInArrow(_add, schema)
+    summed = docs.select("text").mapInArrow(frugal(_count), schema).repartition(PARTS, "part").mapInArrow(frugal(_add), schema)
     total = np.zeros((PARTS, BINS // PARTS), np.int64)
     for row in summed.collect():
         total[row.part] += np.frombuffer(bytes(row.counts), np.int64)
@@ -103,7 +103,7 @@ def weighted(docs: DataFrame, ratios: np.ndarray, seed: int = 0) -> DataFrame:
                 names=["doc_id", "n_grams", "log_weight"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select("doc_id", "text").mapInArrow(weigh, f"doc_id {kind}, n_grams long, log_weight double")
+    rows = docs.select("doc_id", "text").mapInArrow(frugal(weigh), f"doc_id {kind}, n_grams long, log_weight double")
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     even = (F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
     return rows.withColumn("score", F.col("log_weight") - F.log(-F.log(even)))

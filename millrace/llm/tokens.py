@@ -25,7 +25,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-from millrace.llm.store import column, slices
+from millrace.llm.store import column, frugal, slices
 
 END_ID = 0
 #: The dictionary: its bytes, about how many documents it is trained on, and how many bytes of each.
@@ -33,7 +33,7 @@ DICTIONARY = 1 << 16
 SAMPLE_DOCS = 1024
 SAMPLE_BYTES = 1 << 14
 BLOCK_BYTES = 1 << 20
-#: Words whose ids a worker keeps.
+#: Words whose ids a worker keeps, with some 200 bytes for each. Fewer take more time.
 KNOWN_WORDS = 1_500_000
 #: New words that are encoded in a call: what the library keeps of their text stays in the processor's cache.
 LEARNED_WORDS = 1 << 10
@@ -73,9 +73,10 @@ class Encoder:
     _letters = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+\Z")
     _white = re.compile(r"\s")
 
-    def __init__(self, file: str):
+    def __init__(self, file: str, most: int = KNOWN_WORDS):
         from tokenizers import Tokenizer
 
+        self.most = most
         self.tokenizer = Tokenizer.from_file(file)
         self.tokenizer.encode_special_tokens = True
         self.line = self.tokenizer.token_to_id("\u010a")
@@ -165,7 +166,7 @@ class Encoder:
             self.keep(["\n"], np.array([self.line], np.uint32), np.ones(1, np.int64))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.known) > KNOWN_WORDS:
+        if len(self.known) > self.most:
             self.forget()
         if not texts:
             return []
@@ -194,9 +195,10 @@ class Encoder:
 _encoders: dict[str, Encoder] = {}
 
 
-def encoder(file: str) -> Encoder:
+def encoder(file: str, most: int = KNOWN_WORDS) -> Encoder:
     if file not in _encoders:
         _encoders[file] = Encoder(file)
+    _encoders[file].most = most
     return _encoders[file]
 
 
@@ -216,7 +218,7 @@ def train_dictionary(docs: DataFrame, file: str) -> bytes:
     """
     apart = max(1, docs.count() // SAMPLE_DOCS)
     picked = docs.select("doc_id", "text").where(F.pmod(F.xxhash64("doc_id"), F.lit(apart)) == 0).limit(4 * SAMPLE_DOCS)
-    samples = sorted(bytes(r.ids) for r in picked.mapInArrow(_sampler(file), "ids binary").toLocalIterator())
+    samples = sorted(bytes(r.ids) for r in picked.mapInArrow(frugal(_sampler(file)), "ids binary").toLocalIterator())
     try:
         return zstandard.train_dictionary(DICTIONARY, samples, k=512, d=8).as_bytes()
     except zstandard.ZstdError:
@@ -227,7 +229,7 @@ def _shared(data: bytes) -> zstandard.ZstdCompressionDict | None:
     return zstandard.ZstdCompressionDict(data) if data else None
 
 
-def _packer(file: str, dictionary: bytes, digest: str, end_id: int):
+def _packer(file: str, dictionary: bytes, digest: str, end_id: int, known_words: int):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=LEVEL, dict_data=_shared(dictionary), write_content_size=True)
         part, block = TaskContext.get().partitionId(), 0
@@ -243,7 +245,7 @@ def _packer(file: str, dictionary: bytes, digest: str, end_id: int):
 
         for batch in slices(batches, "text", most=1 << 20):
             texts = [t or "" for t in column(batch, "text").to_pylist()]
-            for doc_id, ids in zip(column(batch, "doc_id").to_pylist(), encoder(file).encode(texts)):
+            for doc_id, ids in zip(column(batch, "doc_id").to_pylist(), encoder(file, known_words).encode(texts)):
                 frame = press.compress(np.append(ids, np.uint32(end_id)).astype("<u4").tobytes())
                 doc_ids.append(doc_id)
                 counts.append(len(ids) + 1)
@@ -258,15 +260,18 @@ def _packer(file: str, dictionary: bytes, digest: str, end_id: int):
     return pack
 
 
-def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, end_id: int = END_ID) -> None:
-    """Write the ids of ``docs`` (doc_id, text) under ``path``, in ascending doc_id order."""
+def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, end_id: int = END_ID, known_words: int = KNOWN_WORDS) -> None:
+    """Write the ids of ``docs`` (doc_id, text) under ``path``, in ascending doc_id order.
+
+    ``known_words`` bounds the words whose ids a worker keeps between texts: memory against time, with the same ids.
+    """
     spark = docs.sparkSession
     dictionary = train_dictionary(docs, tokenizer_file)
     digest = hashlib.sha256(dictionary).hexdigest()
     spark.createDataFrame([(digest, bytearray(dictionary), tokenizer_file.rpartition("/")[2])],
                           "sha256 string, bytes binary, tokenizer string").write.parquet(f"{path}/dictionary")
     ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    blocks = ordered.mapInArrow(_packer(tokenizer_file, dictionary, digest, end_id), BLOCK_SCHEMA)
+    blocks = ordered.mapInArrow(frugal(_packer(tokenizer_file, dictionary, digest, end_id, known_words)), BLOCK_SCHEMA)
     blocks.write.option("compression", "none").parquet(f"{path}/blocks")
 
 
@@ -311,4 +316,4 @@ def read_tokens(spark: SparkSession, path: str, where: Column | None = None, wit
     wanted = blocks if where is None else blocks.where(where)
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<long>" * with_ids
     found = wanted.join(starts, ["part", "block"]).select("dictionary", "doc_ids", "n_tokens", "ends", "frames", "start")
-    return found.mapInArrow(_reader(bytes(stored["bytes"]), stored["sha256"], with_ids), schema)
+    return found.mapInArrow(frugal(_reader(bytes(stored["bytes"]), stored["sha256"], with_ids)), schema)

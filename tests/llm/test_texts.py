@@ -6,12 +6,13 @@ import hashlib
 import random
 import zlib
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from millrace.llm import chat, language, mixing, quality, queries, tokens, toxicity
+from millrace.llm import chat, language, mixing, quality, queries, store, tokens, toxicity
 from tests.llm.conftest import PLAIN, corpus, prose
 
 SF = "/root/testdata/sf0.01"
@@ -202,3 +203,34 @@ def test_new_words_are_encoded_many_in_a_call():
     for _ in range(2):
         assert [ids.tolist() for ids in encoder.encode(texts)] == plain(texts)
     assert len(calls) < len(encoder.known) / 10
+
+
+def test_encoder_keeps_few_words():
+    encoder = tokens.Encoder(queries.tokenizer_file(), most=100)
+    texts = [" ".join(f"word{k}x{i}" for i in range(60)) + " the end." for k in range(20)]
+    for text in texts:
+        assert [ids.tolist() for ids in encoder.encode([text])] == encoder.plain([text])
+        assert len(encoder.known) <= 100 + 62
+
+
+def test_freed_memory_goes_back_at_the_end_of_a_task():
+    def held() -> int:
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * 4096 >> 20
+
+    def step(batches):
+        for batch in batches:
+            parts = [bytes(b"x" * 100_000) for _ in range(2000)]
+            pins.append(bytes(100_000))
+            yield batch
+            del parts
+
+    pins: list[bytes] = []
+    batch = pa.RecordBatch.from_pydict({"n": [1]})
+    before = held()
+    assert list(store.frugal(step)(iter([batch]))) == [batch]
+    assert held() - before < 60
+    early = store.frugal(step)(iter([batch, batch]))
+    assert next(early) == batch
+    early.close()
+    assert held() - before < 60
